@@ -37,14 +37,15 @@ def winnow(w: Column, span: int, gram: int = GRAM) -> Column:
     window = span - gram + 1
     mask = (1 << (63 - _POS)) - 1
 
+    # Elements are read one by one: slice() copies the whole array first, which on long texts costs the square of their length.
     def packed(i: Column) -> Column:
-        h = F.xxhash64(F.slice(w, i, F.lit(gram))).bitwiseAND(F.lit(mask))
-        return F.shiftleft(h, _POS).bitwiseOR(i - 1)
+        h = F.xxhash64(*[F.get(w, i + j) for j in range(gram)]).bitwiseAND(F.lit(mask))
+        return F.shiftleft(h, _POS).bitwiseOR(i.cast("long"))
 
     n = F.size(w)
-    grams = F.transform(F.sequence(F.lit(1).cast("long"), (n - gram + 1).cast("long")), packed)
+    grams = F.transform(F.sequence(F.lit(0), n - gram), packed)
     if window > 1:
-        low = lambda g: F.transform(F.sequence(F.lit(1), n - span + 1), lambda i: F.array_min(F.slice(g, i, F.lit(window))))
+        low = lambda g: F.transform(F.sequence(F.lit(0), n - span), lambda i: F.least(*[F.get(g, i + j) for j in range(window)]))
         # A let-binding: the k-gram hashes are computed once, as the only element of an array.
         grams = F.array_distinct(F.element_at(F.transform(F.array(grams), low), 1))
     return F.when(n >= span, grams).otherwise(F.array().cast("array<bigint>"))
@@ -76,7 +77,8 @@ def _extended(doc: Column, p: Column, item: Column, q: Column, span: int) -> Col
     first = F.greatest(q - (span - gram), F.lit(0), q - p)
     last = F.least(q, F.size(item) - span, F.size(doc) - span - p + q)
     tried = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    same = F.filter(tried, lambda j: F.slice(doc, j + p - q + 1, F.lit(span)) == F.slice(item, j + 1, F.lit(span)))
+    places = F.array(*[F.lit(x) for x in range(span)])
+    same = F.filter(tried, lambda j: F.forall(places, lambda x: F.get(doc, j + p - q + x) == F.get(item, j + x)))
     return F.when(F.size(same) > 0, F.struct((F.array_min(same) + p - q).alias("lo"), (F.array_max(same) + p - q + span).alias("hi")))
 
 
@@ -98,26 +100,29 @@ def benchmark_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", te
     total = marks.count()
     blocks = max(1, -(-total // block_rows))
     own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), words(F.col(text_col)).alias("w"))
+    # A mark of hash -1 goes first in each document and meets a row without an item: it keeps documents without hits,
+    # and the join can be an inner one, so that only what meets is handed on with its words.
+    mark = docs.sparkSession.createDataFrame([(None, None, -1, 0)], "item string, item_words array<string>, h long, q int")
     rows = []
     for k in range(blocks):
         part = marks if blocks == 1 else marks.where(F.pmod(F.xxhash64("h", "item"), F.lit(blocks)) == k)
         for n, s in enumerate(spans or [span]):
-            # A null mark goes first: the row that keeps a document without hits, once over all blocks and spans.
-            first = not k and not n
+            first = not k and not n  # the mark counts once over all blocks and spans
+            here = part.where(F.col("span") == s).drop("span")
             prints = winnow(F.col("w"), s)
-            prints = F.concat(F.array(F.lit(None).cast("bigint")), prints) if first else prints
+            prints = F.concat(F.array(F.lit(-1).cast("bigint")), prints) if first else prints
             # The outer form: of the inner one the optimizer derives a filter that computes the fingerprints once more.
             flat = own.withColumn("prints", prints).select("doc_id", "text_hash", "w", F.explode_outer("prints").alias("p"))
-            here = F.broadcast(part.where(F.col("span") == s).drop("span"))
-            met = flat.join(here, _hash_of(F.col("p")) == F.col("h"), "left").where("item is not null or p is null" if first else "item is not null")
+            met = flat.join(F.broadcast(here.union(mark) if first else here), _hash_of(F.col("p")) == F.col("h"))
             run = _extended(F.col("w"), _pos_of(F.col("p")), F.col("item_words"), F.col("q"), s)
-            met = met.select("doc_id", "text_hash", F.size("w").alias("n_words"), F.col("p").isNull().alias("own"), "item", F.when(F.col("item").isNotNull(), run).alias("run"))
-            rows.append(met.where("own or run is not null"))
+            met = met.select("doc_id", "text_hash", F.size("w").alias("n_words"), F.col("item").isNull().alias("own"), "item", F.when(F.col("item").isNotNull(), run).alias("run"))
+            # No filter on run here: it would become a condition of the join, which then copied the words for each fingerprint.
+            rows.append(met)
     every = reduce(DataFrame.union, rows)
     return every.groupBy("doc_id", "text_hash").agg(
         F.max("n_words").cast("long").alias("n_words"),
         F.collect_set("run").alias("runs"),
-        F.collect_set("item").alias("items"),
+        F.collect_set(F.when(F.col("run").isNotNull(), F.col("item"))).alias("items"),
         F.sum(F.col("own").cast("long")).alias("n_copies"),
     )
 
