@@ -1,0 +1 @@
+"""Spark-native curation of labelled media datasets."""
