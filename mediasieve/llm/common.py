@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import components, labels_of
+from ..storage import ranked, settle, shared_dir
+
+__all__ = ["ascii_lower", "components", "labels_of", "ranked", "settle", "shared_dir", "table", "unsigned_hex", "word_count"]
+
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,24 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        own = os.path.join(tempfile.gettempdir(), "mediasieve-shared")
-        os.makedirs(own, exist_ok=True)
-        spark.conf.set("spark.checkpoint.dir", found := f"file://{own}")
-    return found
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder as Parquet and read it back: its lineage is cut, a lost executor costs nothing, and it is computed once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/mediasieve-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def unsigned_hex(c: Column) -> Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(c), 16, "0"))
@@ -50,51 +32,3 @@ def word_count(c: Column) -> Column:
     """Number of WORD matches (null: 0): each word becomes one mark, the rest goes."""
     marks = F.regexp_replace(F.regexp_replace(c, WORD, "w"), "[^w]+", "")
     return F.coalesce(F.length(marks).cast("long"), F.lit(0).cast("long"))
-
-
-def labels_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Connected components of nodes 0..n-1 under links a-b: for each node the smallest node it reaches."""
-    label = np.arange(n)
-    while len(a):
-        la, lb = label[a], label[b]
-        low = np.minimum(la, lb)
-        np.minimum.at(label, la, low)
-        np.minimum.at(label, lb, low)
-        while True:
-            jump = label[label]
-            if np.array_equal(jump, label):
-                break
-            label = jump
-        left = label[a] != label[b]
-        a, b = a[left], b[left]
-    return label
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of edges (a, b long): root is the smallest node reachable.
-
-    Alternating large-star and small-star rounds; a round joins the links to the smallest neighbour of
-    each node, so the only hot side of a join is one that Spark splits, and no component meets in one task.
-    Each round is written to the shared folder. Rows with a null or a = b are ignored.
-    """
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    links = settle(edges.where("a is not null and b is not null and a <> b").select(low.alias("a"), high.alias("b")).distinct())
-
-    def digest(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    now = digest(links)
-    for _ in range(max_rounds if now[0] else 0):
-        both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b"), F.col("a")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        links = settle(small.union(least.select(F.col("m").alias("a"), "b")).distinct())
-        was, now = now, digest(links)
-        if was == now:
-            break
-    else:
-        if now[0]:
-            raise RuntimeError(f"components not settled after {max_rounds} rounds")
-    return links.select(F.col("b").alias("node"), F.col("a").alias("root")).union(links.select("a", "a").distinct())

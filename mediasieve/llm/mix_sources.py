@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, word_count
+from .common import ranked, settle, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET, MOST = 1.5, 2.0
@@ -24,25 +24,13 @@ LEAF_DOCS, FAN_IN, TRY_ALL = 4096, 64, 16
 _OPEN = "source string, rank long, leaf long, klass int, doc_id long, size long, whole long, part double, pick long, done boolean"
 
 
-def ranked(df: DataFrame, col: str) -> DataFrame:
-    """df (one row a value of col) with rank, 0 for the smallest by code point, null last; no task gets all rows."""
-    own = settle(df.repartitionByRange(F.col(col).asc_nulls_last()).sortWithinPartitions(F.col(col).asc_nulls_last()).withColumn("_p", F.spark_partition_id()))
-    sizes = {r[0]: r[1] for r in own.groupBy("_p").count().collect()}  # one row a partition
-    ahead, at = {}, 0
-    for p in sorted(sizes):
-        ahead[p], at = at, at + sizes[p]
-    before = own.sparkSession.createDataFrame(list(ahead.items()) or [(-1, 0)], "_p int, _ahead long")
-    inside = F.row_number().over(Window.partitionBy("_p").orderBy(F.col(col).asc_nulls_last()))
-    return own.withColumn("_n", inside).join(before, "_p").withColumn("rank", F.col("_ahead") + F.col("_n") - 1).drop("_p", "_n", "_ahead")
-
-
 def source_targets(sources: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
     """sources (source, source_size, ...) with rank, weight and target.
 
     Weights repeat over the sources in code point order, null last. They share budget times all sizes; a target stops at
     most times its source's size and the excess is shared anew by weight, until none is above.
     """
-    own = ranked(sources, "source")
+    own = ranked(sources, F.col("source").asc_nulls_last(), start=0)
     pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     own = settle(own.withColumn("weight", pick))
     total = own.agg(F.sum("source_size")).first()[0] or 0
