@@ -107,27 +107,31 @@ def with_keep_rule(pairs: DataFrame, i: str = "xc_i", j: str = "xc_j", rec_i: st
 def resolved(pairs: DataFrame, order: list[str], file_i: str, file_j: str, removes: str = "removes", max_rounds: int = 10_000) -> DataFrame:
     """pairs with taken: whether the pair removed its file when pairs are handled one by one in order, those of a removed file being skipped.
 
-    Sequential in meaning, parallel in rounds: a pair is settled as soon as it is the first open one of both its files.
-    Pairs of any number of components are settled at once, and none meets in one task. order must be total.
+    Sequential in meaning, parallel in rounds: a pair is settled as soon as no earlier open pair could remove one of its
+    files. Pairs of any number of components are settled at once, and none meets in one task; there are as many rounds
+    as the longest chain of removals that wait for one another. order must be total.
     """
-    place = F.struct(*order)
-    own = settle(pairs.withColumn("_o", place).withColumn("_gone", F.when(F.col(removes) == "j", F.col(file_j)).otherwise(F.col(file_i))))
+    own = settle(pairs.withColumn("_o", F.struct(*order)).withColumn("_gone", F.when(F.col(removes) == "j", F.col(file_j)).otherwise(F.col(file_i))))
     left, done = own, []
     for _ in range(max_rounds):
         if left.isEmpty():
             break
-        ends = left.select(F.col(file_i).alias("_f"), "_o").unionByName(left.select(F.col(file_j).alias("_f"), "_o"))
-        first = ends.groupBy("_f").agg(F.min("_o").alias("_m"))
-        a, b = first.toDF("_fi", "_mi"), first.toDF("_fj", "_mj")
-        ready = left.join(a, left[file_i] == F.col("_fi")).join(b, left[file_j] == F.col("_fj"))
-        ready = settle(ready.where((F.col("_o") == F.col("_mi")) & (F.col("_o") == F.col("_mj"))).drop("_fi", "_fj", "_mi", "_mj"))
-        done.append(ready.withColumn("taken", F.lit(True)))
-        gone = ready.select(F.col("_gone").alias("_g")).distinct()
-        rest = left.join(ready.select(F.col("_o").alias("_r")), left["_o"] == F.col("_r"), "left_anti")
-        hit = lambda c: rest[c] == F.col("_g")  # noqa: B023, E731
-        skipped = settle(rest.join(gone, hit(file_i) | hit(file_j), "left_semi") if gone.count() < 1000 else rest.join(gone, hit(file_i), "left_semi").unionByName(rest.join(gone, hit(file_i), "left_anti").join(gone, F.col(file_j) == F.col("_g"), "left_semi")))
-        done.append(skipped.withColumn("taken", F.lit(False)))
-        left = settle(rest.join(skipped.select(F.col("_o").alias("_r")), rest["_o"] == F.col("_r"), "left_anti"))
+        threat = left.groupBy("_gone").agg(F.min("_o").alias("_m"))
+        a, b = threat.toDF("_fi", "_mi"), threat.toDF("_fj", "_mj")
+        seen = left.join(a, left[file_i] == F.col("_fi"), "left").join(b, left[file_j] == F.col("_fj"), "left")
+        free = (F.col("_mi").isNull() | (F.col("_o") <= F.col("_mi"))) & (F.col("_mj").isNull() | (F.col("_o") <= F.col("_mj")))
+        seen = settle(seen.withColumn("_free", free).drop("_fi", "_fj", "_mi", "_mj"))
+        taken, rest = seen.where("_free").drop("_free"), seen.where("not _free").drop("_free")
+        done.append(taken.withColumn("taken", F.lit(True)))
+        gone = taken.select(F.col("_gone").alias("_g"), F.col("_o").alias("_at"))  # a file goes once
+        i, j = gone.toDF("_gi", "_ai"), gone.toDF("_gj", "_aj")
+        late = rest.join(i, rest[file_i] == F.col("_gi"), "left").join(j, rest[file_j] == F.col("_gj"), "left")
+        skip = F.coalesce(F.col("_ai") < F.col("_o"), F.lit(False)) | F.coalesce(F.col("_aj") < F.col("_o"), F.lit(False))
+        late = settle(late.withColumn("_skip", skip).drop("_gi", "_ai", "_gj", "_aj"))
+        done.append(late.where("_skip").drop("_skip").withColumn("taken", F.lit(False)))
+        left = late.where("not _skip").drop("_skip")
+    else:
+        raise RuntimeError(f"pairs not settled after {max_rounds} rounds")
     out = done[0] if done else own.withColumn("taken", F.lit(False))
     for d in done[1:]:
         out = out.unionByName(d)

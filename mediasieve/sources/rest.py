@@ -83,7 +83,7 @@ class RestReader(DataSourceReader):
 
 
 class RestSource(DataSource):
-    """spark.dataSource.register(RestSource); spark.read.format("paged_rest").schema(text columns).option("url", ...).option("values", "a,b").load()"""
+    """register(spark); spark.read.format("paged_rest").schema(text columns).option("url", ...).option("values", "a,b").load()"""
 
     @classmethod
     def name(cls) -> str:
@@ -93,6 +93,12 @@ class RestSource(DataSource):
         return RestReader(schema, self.options)
 
 
+def register(spark) -> None:
+    """Makes the source known, and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(RestSource)
+
+
 def download(url: str, retries: int = 3, least: int = 1024, opener: Callable = urllib.request.urlopen, sleep: Callable = time.sleep) -> tuple[bytes | None, str, float]:
     """Bytes of a URL (or None), why not, and seconds. Fewer than least bytes are a failure; refusals aren't tried again."""
     began, why = time.time(), ""
