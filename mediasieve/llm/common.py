@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components, labels_of
 from ..storage import ranked, settle, shared_dir
 
-__all__ = ["ascii_lower", "components", "labels_of", "ranked", "settle", "shared_dir", "table", "unsigned_hex", "word_count"]
+__all__ = ["ascii_lower", "components", "fresh", "labels_of", "ranked", "settle", "shared_dir", "table", "unsigned_hex", "word_count"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or name with underscores behind it until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def unsigned_hex(c: Column) -> Column:
     """A 64-bit value as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(c), 16, "0"))

@@ -145,7 +145,8 @@ def judged(docs: DataFrame, bench: DataFrame, **names) -> DataFrame:
 def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the contaminated rows; null ids are kept or dropped by their text like any other."""
     bad = judged(docs, bench, id_col=id_col, text_col=text_col).where("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    return docs.join(settle(bad), docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text_col]) == F.col("_bad_hash")), "left_anti")
+    bad = settle(bad)
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text_col]) == bad["_bad_hash"]), "left_anti")
 
 
 def result(docs: DataFrame, bench: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp template noembed noframes svg math".split())
@@ -253,7 +255,7 @@ def main_text(page: str | None) -> str:
 def extracted(df: DataFrame, html_col: str = "html") -> DataFrame:
     """df with text, the main text of html_col (empty for null), and without html_col. One row for each row; a column of df called text is replaced."""
     names = [c for c in df.columns if c not in (html_col, "text")]
-    own = df.select(*names, F.col(html_col).alias("_html"))
+    own = df.select(*names, F.col(html_col).alias(fresh(df, "_html")))
     kinds = df.select(*names).schema.add("text", "string")
 
     def run(batches):

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 # Magic bytes, the format each announces, and how far into the file they stand.
 SIGNATURES = (
     (b"\x89PNG\r\n\x1a\n", "png", 0),
@@ -285,8 +287,8 @@ def sniffed(df: DataFrame, data_col: str, declared_col: str) -> DataFrame:
 def stored(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df without text_col, with n_bytes, declared and data: each whole text (null: empty) as UTF-8, zero bytes up to a positive multiple of 64, in one of the formats of STORES by its checksum. declared is right for two texts of three."""
     names = [c for c in df.columns if c not in (text_col, "n_bytes", "declared", "data")]
-    own = df.select(*names, F.col(text_col).cast("binary").alias("_text"))
-    schema = own.drop("_text").schema.add("n_bytes", "long").add("declared", "string").add("data", "binary")
+    own = df.select(*names, F.col(text_col).cast("binary").alias(fresh(df, "_text")))
+    schema = df.select(*names).schema.add("n_bytes", "long").add("declared", "string").add("data", "binary")
     kinds = tuple(STORES)
 
     def run(batches):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked, settle, word_count
+from .common import fresh, ranked, settle, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET, MOST = 1.5, 2.0
@@ -149,12 +149,14 @@ def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text
     """The mix itself: the rows of df, each as often as its copies say. Columns as in df."""
     found = settle(mixed(df, id_col, source_col, text_col, **how))
     keys = found.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    same = df[id_col].eqNullSafe(F.col("_id")) & df[source_col].eqNullSafe(F.col("_source")) & (F.xxhash64(df[text_col]) == F.col("_hash"))
-    again = found.groupBy("doc_id", "source", "text_hash").count().where("count > 1").isEmpty()
-    joined = df.join(keys.where("_copies > 0"), same)
-    if not again:  # rows that repeat share their copies: the first of them stand for all
-        joined = joined.dropDuplicates([id_col, source_col, "_hash"])
-    return joined.select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")
+    keys = keys.where("_copies > 0")
+    same = df[id_col].cast("long").eqNullSafe(keys["_id"]) & df[source_col].cast("string").eqNullSafe(keys["_source"]) & (F.xxhash64(df[text_col]) == keys["_hash"])
+    single = keys.where("_rows > 1").isEmpty()
+    times, mark, one = fresh(df, "_times"), fresh(df, "_mark"), fresh(df, "_one")
+    joined = df.join(keys, same).select(*[df[c] for c in df.columns], keys["_copies"].alias(times), keys["_hash"].alias(mark))
+    if not single:  # rows that repeat share their copies: one of them stands for all
+        joined = joined.dropDuplicates([id_col, source_col, mark])
+    return joined.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop(times, mark, one)
 
 
 def result(df: DataFrame) -> DataFrame:

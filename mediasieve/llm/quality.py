@@ -137,7 +137,8 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that are rejected."""
     bad = judged(docs, labels).where("not keep").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    return docs.join(settle(bad), docs.doc_id.eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs.text) == F.col("_bad_hash")), "left_anti")
+    bad = settle(bad)
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"]) == bad["_bad_hash"]), "left_anti")
 
 
 def result(docs: DataFrame, labels: DataFrame) -> DataFrame:

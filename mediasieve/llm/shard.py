@@ -70,7 +70,7 @@ def _keyed(df: DataFrame, keys: list[str], seed: int, parts: int) -> tuple[DataF
     return df.withColumn("_part", part).withColumn("_first", F.xxhash64(F.lit(seed + 1), *keys)), part
 
 
-def _dealt(keyed: DataFrame, cuts: DataFrame, split: DataFrame | None, keys: list[str]) -> DataFrame:
+def _dealt(keyed: DataFrame, cuts: DataFrame, split: DataFrame | None) -> DataFrame:
     """keyed with shard: by the cuts of its partition; keys that a cut goes through are dealt by count."""
     by_cut = F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col("_first"))).cast("int")
     keyed = keyed.join(F.broadcast(cuts), "_part", "left").withColumn("_cuts", F.coalesce("_cuts", F.array().cast("array<bigint>")))
@@ -89,14 +89,16 @@ def sharded(df: DataFrame, keys: list[str], n_shards: int = 16, seed: int = 11)
 
     The order comes from hashes of keys alone, so only they are read before the one exchange that moves whole rows. Rows
     whose keys are equal, or all null, are told apart by count, and their order in a shard is by the hash of the row. An
-    empty table gives no rows. Columns of df called shard, slot or beginning with _ are replaced.
+    empty table gives no rows. Columns of df called shard or slot are replaced.
     """
     spark = df.sparkSession
-    narrow = df.select(*keys)
+    names = [c for c in df.columns if c not in ("shard", "slot")]
+    plain = [f"_k{n}" for n in range(len(keys))]
+    narrow = df.select(*[F.col(k).alias(n) for k, n in zip(keys, plain, strict=True)])
     total = narrow.count()
     parts = min(MOST_PARTS, max(1, -(-total // PART_ROWS)))
     buckets = min(MOST_BUCKETS, max(1, -(-total // (n_shards * BUCKET_ROWS))))
-    first, _ = _keyed(narrow, keys, seed, parts)
+    first, _ = _keyed(narrow, plain, seed, parts)
     ranks = settle(first.groupBy("_part", "_first").count())
     rows = {r[0]: r[1] for r in ranks.groupBy("_part").agg(F.sum("count")).collect()}  # one row a partition, MOST_PARTS at most
     sizes = [total // n_shards + (s < total % n_shards) for s in range(n_shards)]
@@ -118,18 +120,17 @@ def sharded(df: DataFrame, keys: list[str], n_shards: int = 16, seed: int = 11)
     shared = None if split.isEmpty() else split  # n_shards - 1 a partition at most
 
     def bucketed(frame: DataFrame) -> DataFrame:
-        second = F.xxhash64(F.lit(seed + 2), *keys)
+        second = F.xxhash64(F.lit(seed + 2), *plain)
         return frame.withColumn("_second", second).withColumn("_bucket", F.pmod(F.shiftrightunsigned(F.col("_second"), 8), F.lit(buckets)).cast("int"))
 
-    counts = bucketed(_dealt(first, cuts, shared, keys)).groupBy("shard", "_bucket").count()
+    counts = bucketed(_dealt(first, cuts, shared)).groupBy("shard", "_bucket").count()
     counts = settle(counts)  # a row for each bucket of a shard
     ahead = counts.withColumn("_ahead", F.sum("count").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("count")).drop("count")
-    whole, _ = _keyed(df.drop("shard", "slot"), keys, seed, parts)
-    out = bucketed(_dealt(whole, cuts, shared, keys))
-    names = [c for c in df.columns if c not in ("shard", "slot")]
-    order = Window.partitionBy("shard", "_bucket").orderBy("_second", F.xxhash64(*names))
+    whole, _ = _keyed(df.select(*[F.col(k).alias(n) for k, n in zip(keys, plain, strict=True)], F.struct(*names).alias("_row")), plain, seed, parts)
+    out = bucketed(_dealt(whole, cuts, shared))
+    order = Window.partitionBy("shard", "_bucket").orderBy("_second", F.xxhash64("_row"))
     out = out.withColumn("_n", F.row_number().over(order)).join(F.broadcast(ahead), ["shard", "_bucket"])
-    return out.select(*names, "shard", (F.col("_ahead") + F.col("_n") - 1).alias("slot"))
+    return out.select("_row.*", "shard", (F.col("_ahead") + F.col("_n") - 1).alias("slot"))
 
 
 def result(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, labels_of, settle, unsigned_hex
+from .common import components, fresh, labels_of, settle, unsigned_hex
 
 RADIUS = 4
 #: Each band: (first bit, bits, bits in a segment, radius); sum of radius + 1 is RADIUS + 1. The second set has wider bands, for more fingerprints than WIDE_ABOVE.
@@ -225,11 +225,13 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     whole = F.coalesce(F.col("component_id"), F.col("fp"))
     kept = settle(found.groupBy(F.col("component_id").isNull().alias("unnamed"), whole.alias("c")).agg(first).select("x.doc_id", "x.text_hash"))
     keys = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    out = df.join(keys, df[id_col].eqNullSafe(F.col("_kept_id")) & (F.xxhash64(df[text_col]) == F.col("_kept_hash")), "left_semi")
-    repeats = found.join(keys, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("text_hash") == F.col("_kept_hash")), "left_semi").groupBy("doc_id", "text_hash").count().where("count > 1")
+    out = df.join(keys, df[id_col].cast("long").eqNullSafe(keys["_kept_id"]) & (F.xxhash64(df[text_col]) == keys["_kept_hash"]), "left_semi")
+    same = found["doc_id"].eqNullSafe(keys["_kept_id"]) & (found["text_hash"] == keys["_kept_hash"])
+    repeats = found.join(keys, same, "left_semi").groupBy("doc_id", "text_hash").count().where("count > 1")
     if repeats.isEmpty():
         return out
-    return out.withColumn("_hash", F.xxhash64(text_col)).dropDuplicates([id_col, "_hash"]).drop("_hash")
+    mark = fresh(df, "_hash")
+    return out.withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).drop(mark)
 
 
 def result(df: DataFrame) -> DataFrame:

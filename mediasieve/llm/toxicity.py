@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import fresh, settle
 from .labelled import fit_machine, remainder, sample, sigmoid
 
 #: Labelled rows of either label to fit on, at most; buckets; buckets with weights; lengths of word beginnings.
@@ -85,8 +85,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: in
 def scored(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """docs without text_col, with score (0 to 1). A null or empty text scores as one without terms; a column called score is replaced."""
     names = [c for c in docs.columns if c not in (text_col, "score")]
-    own = docs.select(*names, F.col(text_col).alias("_text"))
-    schema = own.drop("_text").schema.add("score", "double")
+    own = docs.select(*names, F.col(text_col).alias(fresh(docs, "_text")))
+    schema = docs.select(*names).schema.add("score", "double")
 
     def run(batches):
         known: dict = {}
