@@ -31,6 +31,11 @@ SKIP_WORDS = frozenset(
     "footer footnav header masthead comment comments commentlist disqus respond replies cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
     "share sharing social related recommended recommendations trending popular widget widgets pagination pager toolbar login search hidden copyright legal skip sr skiplink outbrain taboola".split()
 )
+SKIP_PARTS = re.compile(r"cookie|sidebar|advert|newsletter|breadcrumb|disqus|sponsor|paywall")
+#: Words of headers, which count outside an article only, and not with a word of the second kind; words by which an article is a comment or a teaser; words of page layout, which an article inside overrules.
+HEAD_WORDS, TITLE_WORDS = frozenset(("header", "masthead", "banner", "topbar")), frozenset("post entry article content story page".split())
+REMARKS = frozenset("comment comments reply replies ad ads advert sponsored related recommended promo teaser".split())
+LAYOUT = frozenset("sidebar sidenav rail header banner footer nav navbar menu overlay modal widget widgets".split())
 KEEP_TAGS = frozenset(("html", "body", "article", "main"))
 #: Points: characters worth a point and most such points; commas of the scripts in use.
 POINT_CHARS, MOST_POINTS, COMMAS = 100, 3, re.compile(r"[,،、，;]")
@@ -41,6 +46,8 @@ _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s/
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z0-9]+")
+#: What a class says of the layout around, not of the element.
+_LAYOUT_NOTE = re.compile(r"\b(?:no|has|with|without)[-_][\w-]*")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 #: What an open element of the first kind is closed by, up to the nearest of the last kind.
 _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -55,32 +62,47 @@ class Node:
         self.points = 0.0
 
 
-def _skipped(tag: str, attrs: str, in_article: bool) -> bool:
+def _skipped(tag: str, attrs: str, in_article: bool) -> int:
+    """0: kept; 1: left out; 2: left out, save for an article inside."""
     if tag in SKIP:
-        return True
+        return 1
     if tag == "header" and not in_article:
-        return True
-    if not attrs or tag in KEEP_TAGS:
-        return False
+        return 1
+    if not attrs or tag in ("html", "body"):
+        return 0
     for m in _ATTR.finditer(attrs):
         name = m[1].lower()
         if name in ("class", "id", "role", "style", "hidden", "aria-hidden"):
             value = (m[2] or m[3] or m[4] or "").lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-            if name == "role" and value.strip() in SKIP_ROLES:
-                return True
-            if name in ("class", "id") and not SKIP_WORDS.isdisjoint(_WORDS.findall(value)):
-                return True
-    return False
+            if name in ("class", "id"):
+                value = _LAYOUT_NOTE.sub(" ", value)
+                words = frozenset(_WORDS.findall(value))
+                if tag in KEEP_TAGS:
+                    if not REMARKS.isdisjoint(words):
+                        return 1
+                    continue
+                found = words & SKIP_WORDS
+                if found & HEAD_WORDS and (in_article or words & TITLE_WORDS):
+                    found -= HEAD_WORDS
+                if found:
+                    return 2 if found <= LAYOUT else 1
+                if SKIP_PARTS.search(value):
+                    return 1
+            elif tag in KEEP_TAGS:
+                continue
+            elif name == "hidden" or name == "aria-hidden" and value == "true":
+                return 1
+            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+                return 1
+            elif name == "role" and value.strip() in SKIP_ROLES:
+                return 1
+    return 0
 
 
 def parse(page: str) -> Node:
     """Tree of a page, without the elements that are left out. Missing end tags are implied, stray ones ignored."""
     root = here = Node("html", "", None)
-    stack, dead = [root], 0  # dead: depth of the outermost element that is left out, or 0
+    stack, dead, soft = [root], 0, False  # dead: depth of the outermost element that is left out, or 0; soft: an article inside ends that
     names: list[str] = ["html"]
     at, end = 0, len(page)
     articles = 0
@@ -138,9 +160,13 @@ def parse(page: str) -> Node:
                 stack[-1].kids.append(Node(name, "", stack[-1]))
             continue
         here = Node(name, attrs, stack[-1])
-        if not dead:
-            if _skipped(name, attrs, articles > 0):
-                dead = len(names)
+        if dead and soft and name in ("article", "main") and not _skipped(name, attrs, False):
+            here.parent = stack[dead - 1]
+            here.parent.kids.append(here)
+            dead = 0
+        elif not dead:
+            if how := _skipped(name, attrs, articles > 0):
+                dead, soft = len(names), how == 2
             else:
                 stack[-1].kids.append(here)
         if attrs.endswith("/") and name not in BLOCKS:

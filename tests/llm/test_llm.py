@@ -293,6 +293,8 @@ def test_html():
     assert got[0] == "Title" and got[-1] == "End." and len(got) == 5
     assert html_text.main_text("<article><p>cut &am") == "cut &am"
     assert html_text.main_text("<article><p>a<!-- x <p>no --> b</p></article>") == "a b"
+    nested = "<div class='wrap with-sidebar'><div class='page sidebar-left'><article><div class='entry-header'><h1>H</h1></div><p>Body text, yes.</p><div class='entry-footer'>tags</div><div id=disqus_thread><article class=comment><p>Me, too, and more, more, more.</p></article></div></article></div><div class=sidebar><p>Other, other, other, other.</p></div></div>"
+    assert html_text.main_text(nested) == "H\nBody text, yes."
     assert html_text.main_text("<div " * 3000 + "<p>x" + "<b>" * 3000 + "deep") != "boom"
 
 
