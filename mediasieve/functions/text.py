@@ -211,3 +211,14 @@ def first_field(cols: list[Column | str]) -> Column:
 def hop_for_frames(samples: int, frames: int, n_fft: int = 512) -> int:
     """Hop that gives about so many frames."""
     return max(1, (samples - n_fft) // (frames - 1))
+
+
+def cosine_decay(step: Column | str, total: int, base: float, least: float = 0.0) -> Column:
+    """Value of a rate that falls from base to least along half a cosine over total steps."""
+    part = F.least(_col(step) / total, F.lit(1.0))
+    return least + (base - least) * 0.5 * (1 + F.cos(F.lit(3.141592653589793) * part))
+
+
+def cache_key(path: Column | str) -> Column:
+    """Key of a file in a feature table."""
+    return F.md5(_col(path).cast("binary"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import DUPLICATES
 from ..functions import arrays as A
 from ..functions import dsp
+from ..functions.text import seconds_clock
 from ..storage import settle
 
 #: Vectors of a block: two blocks meet in a task, as one matrix product.
@@ -138,6 +139,13 @@ def resolved(pairs: DataFrame, order: list[str], file_i: str, file_j: str, remov
     return out.drop("_o", "_gone")
 
 
+def differences(pairs: DataFrame, meta: DataFrame, key: str, rate: str = "smp", length: str = "length") -> DataFrame:
+    """pairs (i, j) with both sample rates, whether they match (null where one is unknown), and both durations (0 where unknown)."""
+    own = meta.select(F.col(key), F.col(rate).try_cast("int").alias("sr"), F.coalesce(seconds_clock(length), F.lit(0.0)).alias("s"))
+    out = pairs.join(own.toDF("i", "sr_i", "seconds_i"), "i", "left").join(own.toDF("j", "sr_j", "seconds_j"), "j", "left").na.fill(0.0, ["seconds_i", "seconds_j"])
+    return out.withColumn("sample_rate_match", F.col("sr_i") == F.col("sr_j"))
+
+
 def exact_groups(df: DataFrame, text: str, key: str) -> DataFrame:
     """(digest, n, first): groups of equal texts of two or more."""
     return df.where(F.col(text).isNotNull()).groupBy(F.md5(text).alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")).where("n > 1")

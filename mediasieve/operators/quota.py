@@ -41,3 +41,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.1, val
     a = F.floor(F.col("_n") * test + 0.5)
     b = a + F.floor(F.col("_n") * valid + 0.5)
     return own.join(sizes, own[label] == F.col("_l")).withColumn("split", F.when(at <= a, "test").when(at <= b, "valid").otherwise("train")).drop("_h", "_place", "_l", "_n", "_before")
+
+
+def shuffled(df: DataFrame, key: str, epoch: int, seed: int = 42) -> DataFrame:
+    """Rows in an order that is random anew each epoch and the same each time it is asked for."""
+    return df.withColumn("_h", hash_order(key, seed + epoch)).orderBy("_h", key).drop("_h")

@@ -55,3 +55,14 @@ def negative_set(manifest: DataFrame, kind: str, waves: DataFrame, prefix: str,
 def run_matrix(spark, models: list[str], seeds: list[int]) -> DataFrame:
     """Every model with every seed."""
     return spark.createDataFrame([(m,) for m in models], "model string").crossJoin(spark.createDataFrame([(s,) for s in seeds], "seed int"))
+
+
+def cached_features(files: DataFrame, cache: DataFrame | None, compute) -> tuple[DataFrame, DataFrame]:
+    """(features of all files, the new ones among them): rows of the cache by key where they are, else compute(files without). Append the new ones to the cache."""
+    keyed = files.withColumn("key", X.cache_key("path"))
+    missing = keyed if cache is None else hygiene.pending(keyed, cache, "key")
+    new = compute(missing)
+    if cache is None:
+        return new, new
+    known = cache.join(keyed.select("key").distinct(), "key", "left_semi")
+    return known.unionByName(new, allowMissingColumns=True), new
