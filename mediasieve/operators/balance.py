@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BALANCE
-from ..storage import ranked, settle
+from ..storage import first_rows, ranked, settle
 from .hygiene import count_by, keep_first
 
 
@@ -39,7 +39,7 @@ def diverse(df: DataFrame, group: str, cluster: str, cap: int, order: list[Colum
 
 def backfill(rest: DataFrame, needed: int, score: Column, key: str) -> DataFrame:
     """The needed rows of rest with the best score."""
-    return rest.withColumn("_score", score).orderBy(F.desc("_score"), F.asc(key)).limit(needed).drop("_score") if needed > 0 else rest.limit(0)
+    return first_rows(rest.withColumn("_score", score), needed, F.desc("_score"), F.asc(key)).drop("_score")
 
 
 def uncovered(rest: DataFrame, chosen: DataFrame, keys: list[str], bonus: float, valid: Column) -> DataFrame:
@@ -104,7 +104,7 @@ def balanced(
         points = 10.0 * F.coalesce(F.col(score), F.lit(0)) + F.coalesce(F.col(salience), F.lit(0.0)) + F.col("_bonus")
         out = chosen.unionByName(backfill(rest, target - have, points, key).withColumn("_covers", F.lit(None).cast("long")).drop("_bonus"))
     elif have > target:
-        out = chosen.orderBy(F.desc_nulls_last(salience), F.asc(key)).limit(target)
+        out = first_rows(chosen, target, F.desc_nulls_last(salience), F.asc(key))
     out = settle(keep_first(out, [dedup_key], [F.desc_nulls_last(salience), F.asc(key)]))
     have = out.count()
     if have < target:
@@ -134,7 +134,7 @@ def balanced_legacy(df: DataFrame, group: str = "species", key: str = "clip_file
         points = 10.0 * F.col(score) + F.col(energy) + F.col("_bonus")
         out = chosen.unionByName(backfill(rest, target - have, points, key).drop("_bonus"))
     elif have > target:
-        out = chosen.orderBy(F.desc_nulls_last(energy), F.asc(key)).limit(target)
+        out = first_rows(chosen, target, F.desc_nulls_last(energy), F.asc(key))
     return out.drop("_rank")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import ranked
+from ..storage import first_rows, ranked
 
 
 def hash_order(key: str, seed: int = 42) -> Column:
@@ -22,7 +22,7 @@ def priority_quota(df: DataFrame, priority: Column, target: int, key: str, sampl
 
 def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """n rows at random, the same for the same keys."""
-    return df.withColumn("_h", hash_order(key, seed)).orderBy("_h", key).limit(n).drop("_h")
+    return first_rows(df.withColumn("_h", hash_order(key, seed)), n, "_h", key).drop("_h")
 
 
 def pages(df: DataFrame, order: str, per_row: int = 5, rows: int = 5) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions import text as X
 from ..operators import balance, clustering, corrections, hygiene, metrics, neardup, quota, segments
-from ..storage import shared_dir
+from ..storage import first_rows, shared_dir
 from ..streaming import ingest
 from .pipeline import run_matrix
 
@@ -415,7 +415,7 @@ def balance_legacy(spark, d):
 @query(f"WITH {CLIPS} SELECT doc_id, round(salience, 6) AS salience FROM clips ORDER BY clips.salience DESC, doc_id LIMIT (SELECT count(*) // 4 FROM clips)")
 def trim_global(spark, d):
     own = clips(spark, d)
-    return own.orderBy(F.desc("salience"), "doc_id").limit(own.count() // 4).select("doc_id", F.round("salience", 6).alias("salience"))
+    return first_rows(own, own.count() // 4, F.desc("salience"), "doc_id").select("doc_id", F.round("salience", 6).alias("salience"))
 
 
 @query(f"WITH {CLIPS} SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY salience DESC, doc_id) <= (SELECT count(*) // 100 * 100 FROM clips) THEN 'keep' ELSE 'quarantine' END AS status FROM clips")

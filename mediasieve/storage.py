@@ -46,6 +46,17 @@ def ranked(df: DataFrame, *order: Column | str, name: str = "rank", start: int =
     return numbered.join(before, "_p").withColumn(name, F.col(name) + F.col("_ahead")).drop("_p", "_ahead")
 
 
+#: Rows that one task may sort and hand on.
+FEW = 100_000
+
+
+def first_rows(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """The first n rows in a total order: few by a limit, many by ranks that no single task computes."""
+    if n <= FEW:
+        return df.orderBy(*order).limit(max(0, n))
+    return ranked(df, *order, name="_place").where(F.col("_place") <= n).drop("_place")
+
+
 def running(df: DataFrame, order: list[Column | str], sums: dict[str, str]) -> DataFrame:
     """df with running sums of columns in a total order, {new name: column}; no task gets all rows. Only sums of partitions come to the driver."""
     order = [F.col(c) if isinstance(c, str) else c for c in order]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mediasieve.functions import arrays as A
 from mediasieve.functions import text as X
 from mediasieve.operators import balance, clustering, corrections, graph, hygiene, metrics, neardup, quota, segments
-from mediasieve.storage import ranked, running
+from mediasieve.storage import first_rows, ranked, running
 
 
 def column(spark, values, kind, f):
@@ -97,6 +97,14 @@ def test_ranked_and_running(spark):
     assert [sums[i] for i in range(1000)] == list(np.cumsum([i % 7 for i in range(1000)]))
 
 
+def test_first_rows(spark, monkeypatch):
+    df = spark.range(500).selectExpr("id", "id * 37 % 101 AS m").repartition(7)
+    few = [r["id"] for r in first_rows(df, 120, F.desc("m"), "id").collect()]
+    monkeypatch.setattr("mediasieve.storage.FEW", 10)
+    assert sorted(few) == sorted(r["id"] for r in first_rows(df, 120, F.desc("m"), "id").collect()) and len(few) == 120
+    assert first_rows(df, 0, "id").count() == 0
+
+
 @pytest.mark.parametrize("mode", ["compatible", "strict"])
 @pytest.mark.parametrize("target", [0, 7, 30, 60, 500])
 def test_balanced_properties(spark, mode, target):
