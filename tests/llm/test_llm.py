@@ -407,6 +407,20 @@ def test_lm_is_a_distribution(spark, monkeypatch):
         assert r["score"] == pytest.approx(split[k]["score"]) and r["base_score"] == pytest.approx(split[k]["base_score"]) and r["n_known"] == split[k]["n_known"] == r["n_tokens"] - 1
 
 
+def test_head_words(spark):
+    df = spark.createDataFrame([(bytearray(f"w{k}".encode()), c) for k, c in enumerate([9, 9, 5, 3, 3, 3, 1, 1])], "word binary, c long")
+    assert [len(brown_lm.head_words(df, most)) for most in (1, 2, 3, 5, 6, 7, 8, 99)] == [0, 2, 3, 3, 6, 6, 8, 8]
+
+
+def test_sample_is_the_first_by_hash(spark):
+    from mediasieve.llm.labelled import sample
+
+    df = spark.range(5000).selectExpr("id AS doc_id", "CAST(id % 10 = 0 AS INT) AS toxic")
+    few = {r["doc_id"] for r in sample(df, "toxic", 50).collect()}
+    more = {r["doc_id"] for r in sample(df, "toxic", 200).collect()}
+    assert len(few) == 100 and few < more and len(more) == 400 and sum(i % 10 == 0 for i in few) == 50
+
+
 def test_exchange_finds_classes():
     rng = np.random.default_rng(0)
     kind = rng.integers(0, 3, 30)
