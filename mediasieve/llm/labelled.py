@@ -18,10 +18,18 @@ def sample(labels: DataFrame, label: str, per_class: int, where: Column | None =
     """(doc_id, y): per_class labelled ids of either label at most, in hash order; an id of several labels has the largest. Rows with a null id or label are left out."""
     own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     own = own if where is None else own.where(where)
-    own = settle(own.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")))
-    order = [F.xxhash64("doc_id", F.lit(3)), F.col("doc_id")]
-    parts = [own.where(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
-    return settle(parts[0].union(parts[1]))
+    own = own.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")).where("y in (0, 1)")
+    own = settle(own.withColumn("u", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(3)), 11) / float(1 << 53)))
+    sizes = {r[0]: r[1] for r in own.groupBy("y").count().collect()}
+    parts = []
+    for y in (0, 1):
+        mine = own.where(F.col("y") == y)
+        # Hashes are even: the first per_class lie below a bound, so that only they are sorted in one task.
+        below = 1.5 * per_class / max(1, sizes.get(y, 0))
+        if below < 1 and mine.where(F.col("u") < below).count() >= per_class:
+            mine = mine.where(F.col("u") < below)
+        parts.append(mine.orderBy("u", "doc_id").limit(per_class))
+    return settle(parts[0].union(parts[1]).select("doc_id", "y"))
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
