@@ -14,7 +14,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows and bytes of a batch that goes to Python, at most: a worker holds a few batches of whole texts.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder; bounds the session's Arrow batches, as texts may be long."""
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -21,7 +21,7 @@ from .labelled import fit_machine, remainder, sample, sigmoid, thinned
 #: Labelled rows of either label to fit on, at most; buckets; buckets with weights; lengths of word beginnings.
 PER_CLASS, BUCKETS, TERMS, HEADS = 4000, 1 << 22, 768, (4, 5, 6)
 #: Words whose buckets a worker remembers, at most.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
