@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import ranked, settle
 
 #: Rows of a partition and their most; rows of a bucket of a shard and their most.
 PART_ROWS, MOST_PARTS = 20_000, 4096
@@ -70,17 +70,25 @@ def _keyed(df: DataFrame, keys: list[str], seed: int, parts: int) -> tuple[DataF
     return df.withColumn("_part", part).withColumn("_first", F.xxhash64(F.lit(seed + 1), *keys)), part
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows with _n, counted from 1 for each key, however many of them share it: numbers of the whole order, less where a key begins."""
+    own = ranked(rows.withColumn("_at", F.monotonically_increasing_id()), "_part", "_first", "_at", name="_n").drop("_at")
+    own = settle(own)
+    begins = own.groupBy("_part", "_first").agg((F.min("_n") - 1).alias("_lo"))  # keys that a cut goes through
+    return own.join(F.broadcast(begins), ["_part", "_first"]).withColumn("_n", F.col("_n") - F.col("_lo")).drop("_lo")
+
+
 def _dealt(keyed: DataFrame, cuts: DataFrame, split: DataFrame | None) -> DataFrame:
-    """keyed with shard: by the cuts of its partition; keys that a cut goes through are dealt by count."""
+    """keyed with shard, by the cuts of its partition, and _n, 0; keys that a cut goes through are dealt by count, _n."""
     by_cut = F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col("_first"))).cast("int")
     keyed = keyed.join(F.broadcast(cuts), "_part", "left").withColumn("_cuts", F.coalesce("_cuts", F.array().cast("array<bigint>")))
+    none = F.lit(0).cast("long")
     if split is None:
-        return keyed.withColumn("shard", by_cut).drop("_cuts")
+        return keyed.withColumn("shard", by_cut).withColumn("_n", none).drop("_cuts")
     joined = keyed.join(F.broadcast(split), ["_part", "_first"], "left")
-    plain = joined.where("_ends is null").withColumn("shard", by_cut)
-    order = Window.partitionBy("_part", "_first").orderBy(*[F.xxhash64(c) for c in joined.columns if c not in ("_ends", "_cuts")])
-    shared = joined.where("_ends is not null").withColumn("_n", F.row_number().over(order))
-    shared = shared.withColumn("shard", F.size(F.filter(F.col("_ends"), lambda e: e < F.col("_n"))).cast("int")).drop("_n")
+    plain = joined.where("_ends is null").withColumn("shard", by_cut).withColumn("_n", none)
+    shared = _numbered(joined.where("_ends is not null"))
+    shared = shared.withColumn("shard", F.size(F.filter(F.col("_ends"), lambda e: e < F.col("_n"))).cast("int"))
     return plain.unionByName(shared).drop("_cuts", "_ends")
 
 
@@ -120,7 +128,7 @@ def sharded(df: DataFrame, keys: list[str], n_shards: int = 16, seed: int = 11)
     shared = None if split.isEmpty() else split  # n_shards - 1 a partition at most
 
     def bucketed(frame: DataFrame) -> DataFrame:
-        second = F.xxhash64(F.lit(seed + 2), *plain)
+        second = F.xxhash64(F.lit(seed + 2), *plain, "_n")  # _n parts the rows of one key
         return frame.withColumn("_second", second).withColumn("_bucket", F.pmod(F.shiftrightunsigned(F.col("_second"), 8), F.lit(buckets)).cast("int"))
 
     counts = bucketed(_dealt(first, cuts, shared)).groupBy("shard", "_bucket").count()
@@ -129,8 +137,8 @@ def sharded(df: DataFrame, keys: list[str], n_shards: int = 16, seed: int = 11)
     whole, _ = _keyed(df.select(*[F.col(k).alias(n) for k, n in zip(keys, plain, strict=True)], F.struct(*names).alias("_row")), plain, seed, parts)
     out = bucketed(_dealt(whole, cuts, shared))
     order = Window.partitionBy("shard", "_bucket").orderBy("_second", F.xxhash64("_row"))
-    out = out.withColumn("_n", F.row_number().over(order)).join(F.broadcast(ahead), ["shard", "_bucket"])
-    return out.select("_row.*", "shard", (F.col("_ahead") + F.col("_n") - 1).alias("slot"))
+    out = out.withColumn("_place", F.row_number().over(order)).join(F.broadcast(ahead), ["shard", "_bucket"])
+    return out.select("_row.*", "shard", (F.col("_ahead") + F.col("_place") - 1).alias("slot"))
 
 
 def result(df: DataFrame) -> DataFrame:
