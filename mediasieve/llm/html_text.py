@@ -27,7 +27,7 @@ CLOSES_P = BLOCKS - {"option", "select"}
 SKIP = frozenset("head script style noscript template iframe object embed svg math canvas audio video form button input select textarea option label fieldset nav footer aside menu dialog title".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar tablist status form note".split())
 SKIP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox adsense adslot banner sponsor sponsored sponsors promo promotion promoted sidebar sidenav rail menu menus nav navbar navigation topbar breadcrumb breadcrumbs "
+    "ad ads adv advert adverts advertisement advertising adbox adsbygoogle adsense adslot aside banner sponsor sponsored sponsors promo promotion promoted sidebar sidenav rail menu menus nav navbar navigation topbar breadcrumb breadcrumbs "
     "footer footnav header masthead comment comments commentlist disqus respond replies cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
     "share sharing social related recommended recommendations trending popular widget widgets pagination pager toolbar login search hidden copyright legal skip sr skiplink outbrain taboola".split()
 )
