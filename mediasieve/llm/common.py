@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components, labels_of
 from ..storage import ranked, settle, shared_dir
 
-__all__ = ["ascii_lower", "components", "fresh", "labels_of", "ranked", "settle", "shared_dir", "table", "unsigned_hex", "word_count"]
+__all__ = ["ascii_lower", "components", "fresh", "labels_of", "ranked", "repeated", "settle", "shared_dir", "table", "unsigned_hex", "word_count"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,3 +47,16 @@ def word_count(c: Column) -> Column:
     """Number of WORD matches (null: 0): each word becomes one mark, the rest goes."""
     marks = F.regexp_replace(F.regexp_replace(c, WORD, "w"), "[^w]+", "")
     return F.coalesce(F.length(marks).cast("long"), F.lit(0).cast("long"))
+
+
+#: Elements of an array that stands for repeats, at most.
+_REPEATS = 10_000
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row as often as the column times says, without that column; arrays stay short however often a row repeats."""
+    outer, inner = fresh(df, "_outer"), fresh(df, "_inner")
+    zero, step = F.lit(0).cast("long"), F.lit(_REPEATS).cast("long")
+    own = df.where(F.col(times) > 0).withColumn(outer, F.explode(F.sequence(zero, F.col(times) - 1, step)))
+    count = F.least(F.col(times) - F.col(outer), step)
+    return own.withColumn(inner, F.explode(F.sequence(F.lit(1).cast("long"), count))).drop(times, outer, inner)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, settle
+from .common import ascii_lower, repeated, settle
 
 #: Words of a window; words of a k-gram; the separators between words once A-Z are lower-cased.
 SPAN, GRAM = 13, 5
@@ -137,9 +137,9 @@ def judged(docs: DataFrame, bench: DataFrame, **names) -> DataFrame:
         _covered(F.col("runs")).cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")).cast("binary"), 256).alias("items_sha256"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))).alias("copy"),
+        "n_copies",
     )
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).drop("copy")
+    return repeated(out, "n_copies").withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
 def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, ranked, settle, word_count
+from .common import fresh, ranked, repeated, settle, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET, MOST = 1.5, 2.0
@@ -152,11 +152,11 @@ def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text
     keys = keys.where("_copies > 0")
     same = df[id_col].cast("long").eqNullSafe(keys["_id"]) & df[source_col].cast("string").eqNullSafe(keys["_source"]) & (F.xxhash64(df[text_col]) == keys["_hash"])
     single = keys.where("_rows > 1").isEmpty()
-    times, mark, one = fresh(df, "_times"), fresh(df, "_mark"), fresh(df, "_one")
+    times, mark = fresh(df, "_times"), fresh(df, "_mark")
     joined = df.join(keys, same).select(*[df[c] for c in df.columns], keys["_copies"].alias(times), keys["_hash"].alias(mark))
     if not single:  # rows that repeat share their copies: one of them stands for all
         joined = joined.dropDuplicates([id_col, source_col, mark])
-    return joined.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop(times, mark, one)
+    return repeated(joined.drop(mark), times)
 
 
 def result(df: DataFrame) -> DataFrame:

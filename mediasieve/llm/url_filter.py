@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, settle
+from .common import ascii_lower, repeated, settle
 
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DEFAULT = "allow"
@@ -59,8 +59,7 @@ def judged(df: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: st
         known = F.broadcast(known)
     met = flat.join(known, (F.substring("_x", 1, PREFIX) == F.col("prefix")) & (F.col("_x") == F.col("digest")), "left").where("found is not null or _x is null")
     best = met.groupBy("_id", "_url", "host", "path").agg(F.max("found").alias("found"), F.sum(F.col("_x").isNull().cast("long")).alias("copies"))
-    out = best.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "host", "path", F.col("found.rule").alias("rule"), F.coalesce(F.col("found.verdict"), F.lit(default)).alias("verdict"))
+    return repeated(best, "copies").select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "host", "path", F.col("found.rule").alias("rule"), F.coalesce(F.col("found.verdict"), F.lit(default)).alias("verdict"))
 
 
 def result(pages: DataFrame) -> DataFrame:
