@@ -215,6 +215,18 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return own.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
+def one_of(df: DataFrame, found: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of df that kept names (doc_id, text_hash), repeats once; found has doc_id and text_hash of all rows."""
+    keys = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    out = df.join(keys, df[id_col].cast("long").eqNullSafe(keys["_kept_id"]) & (F.xxhash64(df[text_col]) == keys["_kept_hash"]), "left_semi")
+    same = found["doc_id"].eqNullSafe(keys["_kept_id"]) & (found["text_hash"] == keys["_kept_hash"])
+    repeats = found.join(keys, same, "left_semi").groupBy("doc_id", "text_hash").count().where("count > 1")
+    if repeats.isEmpty():
+        return out
+    mark = fresh(df, "_hash")
+    return out.withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).drop(mark)
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each component: that with the smallest id, then the smallest text hash, then one of its repeats.
 
@@ -224,14 +236,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")
     whole = F.coalesce(F.col("component_id"), F.col("fp"))
     kept = settle(found.groupBy(F.col("component_id").isNull().alias("unnamed"), whole.alias("c")).agg(first).select("x.doc_id", "x.text_hash"))
-    keys = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    out = df.join(keys, df[id_col].cast("long").eqNullSafe(keys["_kept_id"]) & (F.xxhash64(df[text_col]) == keys["_kept_hash"]), "left_semi")
-    same = found["doc_id"].eqNullSafe(keys["_kept_id"]) & (found["text_hash"] == keys["_kept_hash"])
-    repeats = found.join(keys, same, "left_semi").groupBy("doc_id", "text_hash").count().where("count > 1")
-    if repeats.isEmpty():
-        return out
-    mark = fresh(df, "_hash")
-    return out.withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).drop(mark)
+    return one_of(df, found, kept, id_col, text_col)
 
 
 def result(df: DataFrame) -> DataFrame:
