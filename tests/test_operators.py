@@ -222,6 +222,18 @@ def test_clusters(spark):
     assert len({got[i] for i in range(50)}) == 5 and all(got[i] == got[i % 5] for i in range(50))
 
 
+def test_clusters_come_from_all_rows(spark):
+    """A cluster whose rows all come after the first 20,000 in hash order has a centre of its own."""
+    from pyspark.sql import Window
+
+    rank = F.row_number().over(Window.orderBy(quota.hash_order("id", 42), "id"))
+    df = spark.range(20_400).withColumn("rank", rank).selectExpr("id", "'big' AS g", "array(CASE WHEN rank > 20000 THEN 100D ELSE id % 4 * 10D END) AS v")
+    got = clustering.cluster_within(df, "g", "id", "v", [F.asc("id")])
+    assert got.count() == 20_400
+    pairs = got.selectExpr("v[0] AS v", "cluster_id").distinct().collect()
+    assert len(pairs) == 5 == len({r["cluster_id"] for r in pairs})
+
+
 def test_corrections(spark):
     qa = [("xc1_A_0.wav", "wrong_onset", "2500"), ("xc1_A_0.wav", "wrong_onset", ""), ("xc1_A_2500.wav", "no_bird", ""), ("xc1_U_0.wav", "no_bird", ""), ("xc2_B_0.wav", "noise_dominated", ""), ("xc1_A_0.wav", "odd", ""), ("xc1_A_9000.wav", "Noise_Dominated", "100")]
     rows = spark.createDataFrame([(k, *r) for k, r in enumerate(qa)], "seq long, clip_filename string, issue_type string, corrected_onset_ms string")
