@@ -1,4 +1,4 @@
-"""URL filters: host-suffix and path-prefix expressions of each URL meet rules by a short hash prefix, then by full digest.
+"""URL filters: host-suffix and path-prefix expressions of each URL meet rules by a short hash prefix alone; where one meets, the full digests decide.
 
 A rule is a host and the beginning of a path; it fits its host and all subdomains. Of the rules that fit the longest wins
 (host and path together; of equal ones that with the longer host). A URL without a rule gets the default verdict.
@@ -13,8 +13,8 @@ from .common import ascii_lower, repeated, settle
 
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DEFAULT = "allow"
-#: Hex digits of the hash prefix; rules that are broadcast at most, more are joined by a shuffle.
-PREFIX, BROADCAST_RULES = 8, 500_000
+#: Bits of the hash prefix; rules that are broadcast at most, more are joined by a shuffle; parts that each rule is dealt to there, as all pages of a domain meet it.
+PREFIX_BITS, BROADCAST_RULES, SALTS = 32, 500_000, 64
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -39,25 +39,44 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "verdict string, host string, path string")
 
 
-def judged(df: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT) -> DataFrame:
+def short(expression: Column, bits: int) -> Column:
+    """The first bits of an expression's 64-bit hash, as a number."""
+    return F.shiftrightunsigned(F.xxhash64(expression), 64 - bits)
+
+
+def digest(expression: Column) -> Column:
+    return F.sha2(expression.cast("binary"), 256)
+
+
+def judged(df: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT, prefix_bits: int | None = None) -> DataFrame:
     """(id, url, host, path, rule, verdict): one row for each row of df; rule is null where none fits.
 
     A null URL, or one without ://, has an empty host and path and gets the default. Rules with a null part are ignored;
-    of two rules for one host and path block wins. Repeated rows give repeated rows; other columns are ignored.
+    of two rules for one host and path block wins. Repeated rows give repeated rows; other columns are ignored. An empty
+    table gives no rows; without rules all get the default.
     """
+    bits = prefix_bits or PREFIX_BITS
     own = rules.where("host is not null and path is not null").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    own = own.select("verdict", F.concat("host", "path").alias("rule"), F.char_length("host").alias("host_n"), F.char_length("path").alias("path_n"), F.sha2(F.concat("host", F.lit("\n"), "path").cast("binary"), 256).alias("digest"))
-    own = settle(own.withColumn("prefix", F.substring("digest", 1, PREFIX)))
+    same = F.concat("host", F.lit("\n"), "path")
+    own = settle(own.select("verdict", F.concat("host", "path").alias("rule"), F.char_length("host").alias("host_n"), F.char_length("path").alias("path_n"), digest(same).alias("digest"), short(same, bits).alias("prefix")))
     lengths = sorted(r[0] for r in own.select("path_n").distinct().collect())  # as many as the longest path has characters at most
     host, path = split_url(F.col(url_col))
     pages = df.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host.alias("host"), path.alias("path"))
-    hashed = F.transform(expressions(F.col("host"), F.col("path"), lengths or [0]), lambda e: F.sha2(e.cast("binary"), 256))
     # A null expression first: the row that keeps a page without rules.
-    flat = pages.withColumn("_x", F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), hashed)))
+    each = F.concat(F.array(F.lit(None).cast("string")), expressions(F.col("host"), F.col("path"), lengths or [0]))
+    flat = pages.withColumn("_x", F.explode_outer(each)).withColumn("_prefix", F.when(F.col("_x").isNotNull(), short(F.col("_x"), bits)))
     known = own.select("prefix", "digest", F.struct((F.col("host_n") + F.col("path_n")).alias("n"), "host_n", "rule", "verdict").alias("found"))
     if own.count() <= BROADCAST_RULES:
-        known = F.broadcast(known)
-    met = flat.join(known, (F.substring("_x", 1, PREFIX) == F.col("prefix")) & (F.col("_x") == F.col("digest")), "left").where("found is not null or _x is null")
+        met = flat.join(F.broadcast(known), F.col("_prefix") == F.col("prefix"), "left")
+    else:
+        known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # Rows without an expression meet nothing: they are dealt out too, by a prefix that no rule has.
+        flat = flat.withColumn("_salt", F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)).cast("int")).withColumn("_prefix", F.coalesce("_prefix", F.lit(-1).cast("long")))
+        met = flat.join(known, (F.col("_prefix") == F.col("prefix")) & (F.col("_salt") == F.col("salt")), "left")
+    # The digests are compared where prefixes have met, not as a second key of the join.
+    confirmed = F.when(F.col("digest").isNotNull() & (digest(F.col("_x")) == F.col("digest")), F.col("found"))
+    met = met.select("_id", "_url", "host", "path", "_x", confirmed.alias("found"))
+    # One prefix may meet several rules: the row that counts a page has none, and so meets none.
     best = met.groupBy("_id", "_url", "host", "path").agg(F.max("found").alias("found"), F.sum(F.col("_x").isNull().cast("long")).alias("copies"))
     return repeated(best, "copies").select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "host", "path", F.col("found.rule").alias("rule"), F.coalesce(F.col("found.verdict"), F.lit(default)).alias("verdict"))
 
