@@ -195,10 +195,10 @@ def clip_embedding(y: np.ndarray, rate: int = RATE, hop: int = 512) -> np.ndarra
 
 
 def frame_embedding(y: np.ndarray, rate: int = RATE, seconds: float = 3.0) -> np.ndarray | None:
-    """Log-mel frames of unit length (band, frame); None below seconds."""
+    """Log-mel frames of unit length (band, frame) of the first seconds; None below that length."""
     if len(y) < seconds * rate:
         return None
-    m = log_mel(y, rate)
+    m = log_mel(y[: int(seconds * rate)], rate)
     norm = np.linalg.norm(m, axis=0, keepdims=True)
     return m / np.where(norm > 0, norm, 1)
 
@@ -211,13 +211,13 @@ def frame_similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]
 
 
 def cnn_features(y: np.ndarray, rate: int = RATE, bands: int = 224, frames: int = 224, seconds: float = 3.0) -> np.ndarray:
-    """Log-mel picture of a clip of fixed length, scaled to [0, 1]; NaN and infinities as 0."""
+    """Log-mel picture of a clip of fixed length, scaled to [0, 1]; NaN and infinities as 0. With too few frames the picture is read over again, row by row, until the shape is full."""
     n = int(rate * seconds)
     y = np.pad(y[:n], (0, max(0, n - len(y))))
-    m = log_mel(y, rate, bands=bands, hop=max(1, int((n - 512) / (frames - 1))), top=None)[:, :frames]
-    m = np.nan_to_num(np.pad(m, ((0, 0), (0, frames - m.shape[1]))), posinf=0.0, neginf=0.0)
+    m = np.nan_to_num(log_mel(y, rate, bands=bands, hop=max(1, int((n - 512) / (frames - 1))), top=None)[:, :frames], posinf=0.0, neginf=0.0)
     span = m.max() - m.min()
-    return ((m - m.min()) / span if span > 0 else np.zeros_like(m)).astype(np.float32)
+    m = (m - m.min()) / span if span > 0 else np.zeros_like(m)
+    return (m if m.shape == (bands, frames) else np.resize(m, (bands, frames))).astype(np.float32)
 
 
 def soft_limit(y: np.ndarray, ceiling: float = 0.99, alpha: float = 5.0) -> np.ndarray:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mediasieve.config import Audio
 from mediasieve.functions import dsp
-from mediasieve.operators import corrections, segments
+from mediasieve.operators import corrections, neardup, segments
 from mediasieve.plans import pipeline
 from mediasieve.sources import rest, sinks, tables
 from mediasieve.streaming import ingest
@@ -114,6 +114,18 @@ def test_duplicates_end_to_end(spark):
     assert {(r["i"], r["j"], r["kind"]) for r in pairs.collect()} == {(1, 2, "perfect")}
 
 
+def test_only_the_first_three_seconds_decide(spark):
+    """Recordings that part after 3 s are perfect duplicates; ones that part before are not."""
+    a, b, c = (burst(5, 0.5, noise=0.02, seed=k) for k in (1, 2, 3))
+    b[:48_000] = a[:48_000]
+    c[48_000:] = a[48_000:]
+    emb = neardup.embeddings(waves(spark, [(1, a), (2, b), (3, c)]), "rec_id")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "i long, j long")
+    got = {r["j"]: r for r in neardup.verified(pairs, emb, "rec_id", "frames", 128).collect()}
+    assert got[2]["kind"] == "perfect" and got[2]["min_sim"] == pytest.approx(1, abs=1e-5) and got[3]["kind"] != "perfect"
+    assert len(emb.first()["frames"]) == 128 * (48_000 // 128 + 1)
+
+
 def test_clips_and_balance(spark):
     df = waves(spark, [(k, burst(4, 0.5, 0.2 + k / 50, 0.01, k)) for k in range(8)])
     clips = pipeline.clips(df).selectExpr("*", "CASE WHEN rec_id < 6 THEN 'a' ELSE 'b' END AS species", "CAST(rec_id AS STRING) AS clip_filename", "3 AS quality_score", "salience AS acoustic_salience")
