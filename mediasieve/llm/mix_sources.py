@@ -1,11 +1,13 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every document of a source gets the same expected number of copies, target / size of the source: a whole part and a
-fraction. The fractions are made 0 or 1 pairwise: of two documents of a source and size class, one takes words (size
-times fraction) from the other until one of them is integral; which of the two ways is drawn so that neither's
-expectation changes. The words in play stay the same, so sums are kept. Each leaf of a tree rounds some thousand
-documents and hands on one open document a size class; inner nodes round what their children hand on; the root of a
-source settles its last open documents, one a size class at most, by the nearest sum.
+fraction. The fractions are made 0 or 1 pairwise: of two documents of a source, one takes words (size times fraction)
+from the other until one of them is integral; which of the two ways is drawn so that neither's expectation changes. The
+words in play stay the same, so sums are kept. Each leaf of a tree rounds some thousand documents, the largest first,
+and hands on the one that stays open, by then a small one as a rule; inner nodes round what their children hand on. The
+one document of a source that stays open at its root is taken where its fraction is a half or more: a source misses its
+target by half that document's size at most. So the expectation holds for every document but that one, whose copies may
+be off by up to a half.
 """
 
 from __future__ import annotations
@@ -19,9 +21,9 @@ from .common import fresh, ranked, repeated, settle, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET, MOST = 1.5, 2.0
-#: Documents of a leaf; nodes that an inner node combines; open documents that a root tries all ways of.
-LEAF_DOCS, FAN_IN, TRY_ALL = 4096, 64, 16
-_OPEN = "source string, rank long, leaf long, klass int, doc_id long, size long, whole long, part double, pick long, done boolean"
+#: Documents of a leaf; nodes that an inner node combines.
+LEAF_DOCS, FAN_IN = 4096, 64
+_OPEN = "source string, rank long, leaf long, doc_id long, size long, rows long, whole long, extra long, part double, pick long, done boolean"
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> DataFrame:
@@ -77,72 +79,55 @@ def pivot(size: np.ndarray, part: np.ndarray, seed: int) -> tuple[np.ndarray, in
     return part, at
 
 
-def _leaf(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rounds the documents of a node, each size class by itself; the last open one of a class stays open."""
-    pdf = pdf.sort_values(["klass", "pick", "doc_id", "size"], kind="stable", na_position="last").reset_index(drop=True)
-    part, done = pdf["part"].to_numpy(float).copy(), np.ones(len(pdf), bool)
-    size, pick = pdf["size"].to_numpy(float), pdf["pick"].to_numpy()
-    klass = pdf["klass"].to_numpy()
-    bounds = np.concatenate(([0], np.flatnonzero(klass[1:] != klass[:-1]) + 1, [len(pdf)]))
-    for i, j in zip(bounds[:-1], bounds[1:], strict=True):
-        part[i:j], at = pivot(size[i:j], part[i:j], int(pick[i]))
-        if at >= 0:
-            done[i + at] = False
+def _node(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rounds the documents of a node, the largest first; one at most stays open."""
+    pdf = pdf.sort_values(["size", "pick", "doc_id"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
+    part, at = pivot(pdf["size"].to_numpy(float), pdf["part"].to_numpy(float), int(pdf["pick"].iloc[0]))
+    done = np.ones(len(pdf), bool)
+    if at >= 0:
+        done[at] = False
     pdf["part"], pdf["done"] = part, done
     return pdf
 
 
-def _root(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Settles the open documents of a source: pairs them from the largest down, then takes the rounding of the last TRY_ALL whose sum is nearest (of equal ones the first drawn)."""
-    pdf = pdf.sort_values(["size", "pick", "doc_id"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-    part, size = pdf["part"].to_numpy(float).copy(), pdf["size"].to_numpy(float)
-    want = float((part * size).sum())
-    head = max(0, len(part) - TRY_ALL)
-    if head:
-        part[:head], at = pivot(size[:head], part[:head], int(pdf["pick"][0]))
-        if at >= 0:
-            part[at] = round(part[at])
-    n = len(part) - head
-    if n:
-        ways = (np.arange(1 << n)[:, None] >> np.arange(n)[None, :]) & 1
-        order = np.random.Generator(np.random.PCG64(int(pdf["pick"][0]) & 0x7FFFFFFFFFFFFFFF)).permutation(len(ways))
-        sums = ways[order] @ size[head:] + (part[:head] * size[:head]).sum()
-        part[head:] = ways[order[np.argmin(np.abs(sums - want))]]
-    pdf["part"], pdf["done"] = part, True
-    return pdf
-
-
 def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 7) -> DataFrame:
     """(doc_id, text_hash, source, size, source_size, target, copies long): one row for each row of df.
 
     copies: how often the mix takes the document; it is the whole part of target / source_size or one more. A null text
     has size 0 and, like any document without words, no copies beyond the whole part. A null source is a source; null and
-    repeated ids are rows of their own. The same input gives the same copies. An empty table gives no rows.
+    repeated ids are rows of their own. Rows that repeat (id, source, text) are rounded as one, and their copies dealt
+    out among them, so however many there are, a leaf holds them once. The same input gives the same copies. An empty
+    table gives no rows.
     """
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("text_hash"), word_count(F.col(text_col)).alias("size"))
-    own = settle(own)
-    sources = own.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    own = settle(own.groupBy("doc_id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("rows")))
+    sources = own.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("n"))
     targets = settle(source_targets(sources, weights, budget, most))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     pick = F.xxhash64(F.lit(seed), "doc_id", "text_hash", "size", "source")
     deal = F.pmod(F.xxhash64("pick", F.lit(seed)), F.ceil(F.col("n") / LEAF_DOCS))
-    klass = F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double")))).otherwise(-1).cast("int")
     known = targets.select(F.col("source").alias("_s"), "rank", "n", "source_size", "target")
     docs = own.join(known, own.source.eqNullSafe(known._s)).drop("_s").withColumn("ratio", ratio).withColumn("pick", pick)
-    docs = docs.select("source", "rank", deal.cast("long").alias("leaf"), klass.alias("klass"), "doc_id", "size", F.floor("ratio").cast("long").alias("whole"), F.when(F.col("size") > 0, F.col("ratio") - F.floor("ratio")).otherwise(0.0).alias("part"), "pick", F.lit(False).alias("done"), "text_hash")
+    share = F.when(F.col("size") > 0, F.col("rows") * (F.col("ratio") - F.floor("ratio"))).otherwise(0.0)
+    docs = docs.withColumn("share", share)
+    docs = docs.select("source", "rank", deal.cast("long").alias("leaf"), "doc_id", "size", "rows", F.floor("ratio").cast("long").alias("whole"), F.floor("share").cast("long").alias("extra"), (F.col("share") - F.floor("share")).alias("part"), "pick", F.lit(False).alias("done"), "text_hash")
     kinds = _OPEN + ", text_hash long"
-    level = settle(docs.groupBy("rank", "leaf").applyInPandas(_leaf, kinds))
+    level = settle(docs.groupBy("rank", "leaf").applyInPandas(_node, kinds))
     out = level.where("done")
     leaves = targets.agg(F.max(F.ceil(F.col("n") / LEAF_DOCS))).first()[0] or 0
     while leaves > 1:
         leaves = -(-leaves // FAN_IN)
         up = level.where("not done").withColumn("leaf", F.floor(F.col("leaf") / FAN_IN).cast("long"))
-        level = settle(up.groupBy("rank", "leaf").applyInPandas(_leaf, kinds))
+        level = settle(up.groupBy("rank", "leaf").applyInPandas(_node, kinds))
         out = out.union(level.where("done"))
-    last = level.where("not done").groupBy("rank").applyInPandas(_root, kinds)
-    out = out.union(last)
+    # The last open document of a source: the nearer of both.
+    out = out.union(level.where("not done").withColumn("part", F.when(F.col("part") >= 0.5, 1.0).otherwise(0.0)))
     known = targets.select("rank", "source_size", "target")
-    return out.join(known, "rank").select("doc_id", "text_hash", "source", "size", "source_size", "target", (F.col("whole") + F.col("part").cast("long")).alias("copies"))
+    out = out.join(known, "rank").withColumn("extra", F.col("extra") + F.col("part").cast("long"))
+    # Of the rows that repeat, as many as extra says have one copy more.
+    more = F.array(F.struct(F.col("extra").alias("times"), (F.col("whole") + 1).alias("copies")), F.struct((F.col("rows") - F.col("extra")).alias("times"), F.col("whole").alias("copies")))
+    out = out.select("doc_id", "text_hash", "source", "size", "source_size", "target", F.explode(more).alias("_x"))
+    return repeated(out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "_x.copies", F.col("_x.times").alias("_times")), "_times")
 
 
 def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from test_llm import DOCS, contamination
 
 from mediasieve.llm import decontaminate, url_filter
@@ -83,3 +84,32 @@ def test_the_prefix_is_the_only_key(spark):
     plan = url_filter.result(df)._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.split("\n") if "Join LeftOuter" in line)
     assert "digest" not in join and "prefix" in join
+
+
+def test_equal_rows_are_one_in_a_leaf(spark, monkeypatch):
+    """100,000 equal rows, ids null or not, go through a leaf as one row each, and their copies come to the target."""
+    from mediasieve.llm import mix_sources
+
+    node = mix_sources._node
+    monkeypatch.setattr(mix_sources, "_node", lambda pdf: node(pdf) if len(pdf) < 50 else 1 / 0)
+    one = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'four words of text' AS text", "'en' AS lang", "'hot' AS source", "1L AS n_chars")
+    two = spark.range(50_000).selectExpr("7L AS doc_id", "'three words here' AS text", "'en' AS lang", "'hot' AS source", "1L AS n_chars")
+    rest = spark.range(20).selectExpr("id AS doc_id", "'a b' AS text", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    got = mix_sources.mixed(one.union(two).union(rest)).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most")).collect()
+    by = {r["source"]: r for r in got}
+    assert by["hot"]["n"] == 150_000 and abs(by["hot"]["taken"] - by["hot"]["target"]) <= 4 and by["hot"]["most"] <= 2
+
+
+def test_expectations_hold_but_for_the_last_document(spark):
+    """Over many seeds each document's mean copies are its share, save for the small ones that stay open last."""
+    from mediasieve.llm import mix_sources
+
+    rng = random.Random(2)
+    rows = [(k, " ".join(["w"] * (1 if k < 5 else rng.randrange(20, 60))), "en", "s", 1) for k in range(60)] + [(100, "x " * 3000, "en", "t", 1)]
+    df = spark.createDataFrame(rows, DOCS).cache()
+    total = {}
+    for seed in range(15):
+        for r in mix_sources.mixed(df, weights=(1.0, 3.0), seed=seed).where("source = 's'").collect():
+            total.setdefault(r["doc_id"], []).append(r["copies"] - r["target"] / r["source_size"])
+    mean = {k: sum(v) / len(v) for k, v in total.items()}
+    assert abs(sum(mean[k] for k in mean if k >= 5)) / 55 < 0.05 and max(abs(mean[k]) for k in mean if k >= 5) < 0.4
