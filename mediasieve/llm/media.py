@@ -3,16 +3,22 @@
 One Aho-Corasick automaton finds the magic bytes of all formats in a blob in a single pass; a validator for each format
 walks the structure behind them and confirms lengths and checksums. What is confirmed at the start is the blob's type,
 whatever was declared; what is confirmed further in is embedded media and can be carved out.
+
+A blob is read once by the automaton, which also notes where PDFs end. Validators step from one length to the next, and
+a format is not looked for again inside what was confirmed of it, but for places that may hold another: a JPEG's segments
+before its image data, the members of a RIFF of another format.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +40,8 @@ SIGNATURES = (
     (b"ftyp", "mp4", 4),
     (b".snd", "au", 0),
 )
+#: Marks that the automaton notes beside the signatures.
+PDF_MARKS = (b"%%EOF", b"startxref")
 ALIGN, RATE, WIDTH = 64, 16_000, 64
 
 
@@ -58,7 +66,7 @@ def _jpeg(b: bytes, at: int) -> int:
         kind = b[i + 1]
         if kind == 0xD9:
             return i + 2 - at if scans else 0
-        if kind == 0xFF:
+        if kind == 0xFF:  # a fill byte
             i += 1
             continue
         if kind < 0xC0 or kind == 0xD8:
@@ -128,16 +136,86 @@ def _riff(b: bytes, at: int) -> int:
     return end - at if i == end and (b[at + 8 : at + 12] != b"WAVE" or {b"fmt ", b"data"} <= set(seen)) and seen else 0
 
 
+def _crc_table(bits: int, poly: int) -> list[int]:
+    """Remainders of a CRC whose highest bit goes first, by byte."""
+    out = []
+    for byte in range(256):
+        x = byte << (bits - 8)
+        for _ in range(8):
+            x = (x << 1 ^ poly if x >> (bits - 1) else x << 1) & ((1 << bits) - 1)
+        out.append(x)
+    return out
+
+
+_CRC8, _CRC16 = _crc_table(8, 0x07), _crc_table(16, 0x8005)
+_REVERSED = bytes(int(f"{x:08b}"[::-1], 2) for x in range(256))
+
+
+def _flac_frame(b: bytes, at: int, width: int) -> tuple[int, int, int] | None:
+    """Samples, bytes of the header and most bytes of the frame at a place, or None: sync, fields and checksum of the header must fit. width: bits of a sample in the stream's head."""
+    if at + 6 > len(b) or b[at] != 0xFF or b[at + 1] & 0xFE != 0xF8:
+        return None
+    size, rate, channels, bits = b[at + 2] >> 4, b[at + 2] & 15, b[at + 3] >> 4, b[at + 3] >> 1 & 7
+    if not size or rate == 15 or channels > 10 or bits == 3 or b[at + 3] & 1:
+        return None
+    i, lead = at + 4, b[at + 4]
+    more = 0 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length() - 1  # bytes that follow in the coded number
+    if lead >= 0x80 and not 1 <= more <= 6:
+        return None
+    i += 1 + more
+    if i + 4 > len(b):
+        return None
+    samples = 192 if size == 1 else 576 << (size - 2) if size < 6 else 256 << (size - 8)
+    if size == 6:
+        samples, i = b[i] + 1, i + 1
+    elif size == 7:
+        samples, i = int.from_bytes(b[i : i + 2], "big") + 1, i + 2
+    i += (0, 1, 2, 2)[max(0, rate - 11)]
+    crc = 0
+    for x in b[at:i]:
+        crc = _CRC8[crc ^ x]
+    if i >= len(b) or crc != b[i]:
+        return None
+    count = channels + 1 if channels < 8 else 2
+    # Subframes as they are, with a byte each before them: no frame is longer.
+    return samples, i + 1 - at, i + 3 - at + count * (2 + (samples * ((0, 8, 12, 0, 16, 20, 24, 32)[bits] or width) + samples + 7) // 8)
+
+
 def _flac(b: bytes, at: int) -> int:
     if at + 42 > len(b) or b[at + 4] & 0x7F or b[at + 5 : at + 8] != b"\0\0\x22":
         return 0
-    i = at + 4
-    while i + 4 <= len(b):
-        last, n = b[i] >> 7, int.from_bytes(b[i + 1 : i + 4], "big")
-        i += 4 + n
-        if last:  # frames have no length of their own: they run to the end
-            return len(b) - at if b[i : i + 1] == b"\xff" and i + 1 < len(b) and b[i + 1] >> 1 == 0x7C else 0
-    return 0
+    head = int.from_bytes(b[at + 18 : at + 26], "big")
+    width, total = (head >> 36 & 31) + 1, head & ((1 << 36) - 1)
+    i, last = at + 4, 0
+    while not last:
+        if i + 4 > len(b):
+            return 0
+        last, i = b[i] >> 7, i + 4 + int.from_bytes(b[i + 1 : i + 4], "big")
+    done, good = 0, 0
+    while (not total or done < total) and (frame := _flac_frame(b, i, width)):
+        # A frame doesn't tell its length: it ends where its checksum comes out, before another frame or as the last.
+        samples, size, most = frame
+        crc, end = 0, 0
+        for k in range(i, min(len(b), i + most)):
+            crc = (crc << 8 & 0xFF00) ^ _CRC16[crc >> 8 ^ b[k]]
+            if not crc and k >= i + size + 2:
+                if total and done + samples >= total or _flac_frame(b, k + 1, width):
+                    end = k + 1
+                    break
+                end = end or k + 1  # the first fit, where no frame follows
+        if not end:
+            break
+        done, i, good = done + samples, end, end
+    return good - at if good else 0
+
+
+def _ogg_checked(page: bytes) -> bool:
+    """Whether the checksum of a page fits; one of zero counts as not given."""
+    said = struct.unpack_from("<I", page, 22)[0]
+    if not said:
+        return True
+    raw = zlib.crc32((page[:22] + bytes(4) + page[26:]).translate(_REVERSED), 0xFFFFFFFF) ^ 0xFFFFFFFF
+    return int(f"{raw:032b}"[::-1], 2) == said
 
 
 def _ogg(b: bytes, at: int) -> int:
@@ -146,7 +224,7 @@ def _ogg(b: bytes, at: int) -> int:
         n = b[i + 26]
         size = 27 + n + sum(b[i + 27 : i + 27 + n])
         own = b[i + 14 : i + 18]
-        if i + size > len(b) or serial not in (None, own):
+        if i + size > len(b) or serial not in (None, own) or not _ogg_checked(b[i : i + size]):
             break
         serial, i = own, i + size
         if b[i - size + 5] & 4:
@@ -154,15 +232,26 @@ def _ogg(b: bytes, at: int) -> int:
     return i - at
 
 
-def _pdf(b: bytes, at: int) -> int:
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and b.find(b"startxref", at, end) >= 0 else 0
+def _pdf(at: int, starts: list[int], ends: list[int], tables: list[int]) -> int:
+    """Length of a PDF from the marks of the whole blob: to the last %%EOF before the next PDF, as updates add their own; there is a startxref before it."""
+    k = bisect.bisect_right(starts, at)
+    stop = starts[k] if k < len(starts) else 1 << 62
+    e = bisect.bisect_left(ends, stop) - 1
+    if e < 0 or ends[e] < at:
+        return 0
+    t = bisect.bisect_left(tables, at)
+    return ends[e] + 5 - at if t < len(tables) and tables[t] < ends[e] else 0
 
 
 def _mp4(b: bytes, at: int) -> int:
+    """Boxes one behind the other, with lengths of 32 or 64 bits; one of length 0 runs to the end."""
     i, seen = at, []
     while i + 8 <= len(b):
         n, kind = struct.unpack_from(">I", b, i)[0], b[i + 4 : i + 8]
+        if n == 1 and i + 16 <= len(b):
+            n = struct.unpack_from(">Q", b, i + 8)[0]
+        elif n == 0 and seen:
+            n = len(b) - i
         if n < 8 or i + n > len(b) or not kind.isalnum():
             break
         seen.append(kind)
@@ -177,7 +266,7 @@ def _au(b: bytes, at: int) -> int:
     return start + size if 24 <= start <= 4096 and 1 <= coding <= 27 and 0 < rate <= 768_000 and 0 < channels <= 64 and at + start + size <= len(b) else 0
 
 
-VALIDATORS: dict[str, Callable[[bytes, int], int]] = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "riff": _riff, "flac": _flac, "ogg": _ogg, "pdf": _pdf, "mp4": _mp4, "au": _au}
+VALIDATORS: dict[str, Callable[[bytes, int], int]] = {"png": _png, "jpeg": _jpeg, "gif": _gif, "bmp": _bmp, "riff": _riff, "flac": _flac, "ogg": _ogg, "mp4": _mp4, "au": _au}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -185,21 +274,39 @@ def automaton() -> ahocorasick.Automaton:
     out = ahocorasick.Automaton()
     for magic, kind, offset in SIGNATURES:
         out.add_word(magic.decode("latin-1"), (kind, len(magic) - 1 + offset))
+    for mark in PDF_MARKS:
+        out.add_word(mark.decode("latin-1"), (mark, len(mark) - 1))
     out.make_automaton()
     return out
 
 
+def _image_data(b: bytes, at: int) -> int:
+    """Where the segments before a confirmed JPEG's image data end."""
+    i = at + 2
+    while b[i + 1] != 0xDA:
+        i += 1 if b[i + 1] == 0xFF else 2 + struct.unpack_from(">H", b, i + 2)[0]
+    return i
+
+
 def sniff(data: bytes, found: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
-    """Confirmed (format, start, length) in data, by start; what lies inside another confirmed one is given too, unless it is a member of a riff."""
-    out, past = [], {}
+    """Confirmed (format, start, length) in data, by start; what lies inside a confirmed one of another format is given too, and a JPEG in another's segments."""
+    hits, marks = [], {m: [] for m in PDF_MARKS}
     for end, (kind, back) in found.iter(data.decode("latin-1")):
-        at = end - back
-        if at < 0 or at < past.get(kind, 0):
+        if kind in marks:
+            marks[kind].append(end - back)
+        elif end >= back:
+            hits.append((kind, end - back))
+    pdfs = [at for kind, at in hits if kind == "pdf"]
+    out, past = [], {}
+    for kind, at in hits:
+        low, high = past.get(kind, (0, 0))
+        if low <= at < high:
             continue
-        if n := VALIDATORS[kind](data, at):
+        if n := _pdf(at, pdfs, marks[PDF_MARKS[0]], marks[PDF_MARKS[1]]) if kind == "pdf" else VALIDATORS[kind](data, at):
             name = {b"WAVE": "wav", b"WEBP": "webp", b"AVI ": "avi"}[data[at + 8 : at + 12]] if kind == "riff" else kind
             out.append((name, at, n))
-            past[kind] = at + n
+            if at + n > high:
+                past[kind] = (_image_data(data, at) if kind == "jpeg" else at, at + n)
     return sorted(out, key=lambda x: x[1:])
 
 
@@ -284,6 +391,24 @@ def sniffed(df: DataFrame, data_col: str, declared_col: str) -> DataFrame:
     return own.mapInArrow(run, schema)
 
 
+def carved_media(found: DataFrame, data_col: str) -> DataFrame:
+    """A row for each embedded medium of sniffed rows: the other columns of found, and kind, start, length and media, its bytes. Rows without embedded media give none."""
+    names = [c for c in found.columns if c not in (data_col, "kind", "corrected", "length", "carved", "start", "media")]
+    each = found.select(*names, F.col(data_col).alias("media"), F.explode("carved").alias("x"))
+    part = F.substring("media", (F.col("x.start") + 1).cast("int"), F.col("x.length").cast("int"))
+    return each.select(*names, "x.kind", "x.start", "x.length", part.alias("media"))
+
+
+def sample_features(samples: bytes) -> str:
+    """Level, loudness, crossings of the middle and entropy of 8-bit samples."""
+    x = np.frombuffer(samples, np.uint8).astype(np.int64)
+    n = max(1, len(x))
+    share = np.bincount(x, minlength=256) / n
+    entropy = -float((share[share > 0] * np.log2(share[share > 0])).sum())
+    crossings = int(np.count_nonzero((x[1:] >= 128) != (x[:-1] >= 128)))
+    return f"mean {x.sum() / n:.4f} rms {(((x - 128) ** 2).sum() / n) ** 0.5:.4f} crossings {crossings} entropy {entropy + 0.0:.4f}"
+
+
 def stored(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df without text_col, with n_bytes, declared and data: each whole text (null: empty) as UTF-8, zero bytes up to a positive multiple of 64, in one of the formats of STORES by its checksum. declared is right for two texts of three."""
     names = [c for c in df.columns if c not in (text_col, "n_bytes", "declared", "data")]
@@ -316,7 +441,7 @@ def digests(df: DataFrame) -> DataFrame:
             cols = [[] for _ in range(6)]
             for row in b.select(["kind", "corrected", "length", "carved", "data", "declared"]).to_pylist():
                 payload, shape = read_samples(row["kind"], row["data"][: row["length"]])
-                feature = f"{row['kind']} {shape}; declared {row['declared']}{' (corrected)' if row['corrected'] else ''}; embedded {len(row['carved'])}"
+                feature = f"{row['kind']} {shape}; declared {row['declared']}{' (corrected)' if row['corrected'] else ''}; embedded {len(row['carved'])}; {sample_features(payload)}"
                 for c, v in zip(cols, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ALIGN:]), len(row["data"]), hashlib.sha256(row["data"]).hexdigest(), feature), strict=True):
                     c.append(v)
             types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
