@@ -1,8 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are a text's words and the beginnings of its words, hashed to buckets. The buckets that tell the labels apart best
-in a bounded labelled sample get a linear weight and a vector of factors; the product of two terms' vectors weighs the pair,
-so that an insult together with a mention of a group can weigh more than both alone.
+Terms are a text's words and the beginnings of its words, hashed to buckets. Every bucket that a bounded labelled sample
+bears out gets a linear weight and a vector of factors, however many there are; a bucket that is as frequent under both
+labels as chance may have it has zeros. The product of two terms' vectors weighs the pair, so that an insult together with a
+mention of a group can weigh more than both alone.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import fresh, settle
 from .labelled import fit_machine, remainder, sample, sigmoid, thinned
 
-#: Labelled rows of either label to fit on, at most; buckets; buckets with weights; lengths of word beginnings.
-PER_CLASS, BUCKETS, TERMS, HEADS = 4000, 1 << 22, 768, (4, 5, 6)
+#: Labelled rows of either label to fit on, at most; buckets; standard errors by which a bucket's two shares differ, at least (by chance alone none of all buckets passes 6); lengths of word beginnings.
+PER_CLASS, BUCKETS, SIGNIFICANT, HEADS = 4000, 1 << 22, 6.0, (4, 5, 6)
 #: Words whose buckets a worker remembers, at most.
 REMEMBERED = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -64,10 +65,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: in
     if not n1 or n1 == n:
         return {"index": {}, "bias": -6.0 if not n1 else 6.0, "w": np.zeros(0, np.float32), "v": np.zeros((0, 1), np.float32)}
     n0 = n - n1
-    seen = own.select("y", F.explode("terms").alias("t")).groupBy("t").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where("a + b >= 3")
-    odds = F.log((F.col("a") + 0.5) / (n1 + 1.0)) - F.log((F.col("b") + 0.5) / (n0 + 1.0))
-    ranked = seen.withColumn("s", F.abs(odds) * F.sqrt(F.col("a") * (n0 / n) + F.col("b") * (n1 / n))).orderBy(F.desc("s"), "t").limit(TERMS)
-    index = {r["t"]: k for k, r in enumerate(ranked.collect())}  # TERMS rows at most
+    seen = own.select("y", F.explode("terms").alias("t")).groupBy("t").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    both = (F.col("a") + F.col("b")) / n
+    error = F.sqrt(both * (1 - both) * (1 / n0 + 1 / n1))
+    told = seen.where(F.abs(F.col("a") / n1 - F.col("b") / n0) > SIGNIFICANT * error).orderBy("t")
+    index = {r["t"]: k for k, r in enumerate(told.collect())}  # terms of 2 * PER_CLASS rows at most
 
     def kept(batches):
         for b in batches:
@@ -79,9 +81,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: in
     for k, (_, found) in enumerate(rows):
         x[k, list(found)] = 1
     y = np.array([r[0] for r in rows], np.float32)
-    # Toxic texts of the sample often hold many insults, of which the model would weigh each a little; thinned copies make one enough.
-    more = thinned(x[y > 0])
-    bias, w, v = fit_machine(np.concatenate([x, more]), np.concatenate([y, np.ones(len(more), np.float32)]))
+    # Texts often hold many signs, of which the model would weigh each a little; a thinned copy of every row, of either label, makes few enough.
+    bias, w, v = fit_machine(np.concatenate([x, thinned(x)]), np.concatenate([y, y]))
     return {"index": index, "bias": bias, "w": w, "v": v}
 
 
