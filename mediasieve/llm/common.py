@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components, labels_of
 from ..storage import ranked, settle, shared_dir
 
-__all__ = ["ascii_lower", "components", "fresh", "labels_of", "ranked", "repeated", "settle", "shared_dir", "table", "unsigned_hex", "word_count"]
+__all__ = ["ascii_lower", "components", "few", "fresh", "labels_of", "ranked", "repeated", "settle", "shared_dir", "table", "unsigned_hex", "with_keys", "without", "word_count"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,3 +60,32 @@ def repeated(df: DataFrame, times: str) -> DataFrame:
     own = df.where(F.col(times) > 0).withColumn(outer, F.explode(F.sequence(zero, F.col(times) - 1, step)))
     count = F.least(F.col(times) - F.col(outer), step)
     return own.withColumn(inner, F.explode(F.sequence(F.lit(1).cast("long"), count))).drop(times, outer, inner)
+
+
+#: Keys (an id and a hash each) that are broadcast, at most, so that texts need not move; more meet the texts in a shuffle.
+FEW_KEYS = 500_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """keys, a settled narrow table, to be broadcast if they are FEW_KEYS at most."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
+def _same(df: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> Column:
+    return df[id_col].cast("long").eqNullSafe(keys["_key_id"]) & (F.xxhash64(df[text_col]) == keys["_key_hash"])
+
+
+def _keys(keys: DataFrame) -> DataFrame:
+    return few(settle(keys.select(F.col("doc_id").cast("long").alias("_key_id"), F.col("text_hash").alias("_key_hash")).distinct()))
+
+
+def without(df: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of df whose id and text are not in keys (doc_id, text_hash); a null id is an id."""
+    own = _keys(keys)
+    return df.join(own, _same(df, own, id_col, text_col), "left_anti")
+
+
+def with_keys(df: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of df whose id and text are in keys (doc_id, text_hash); a null id is an id."""
+    own = _keys(keys)
+    return df.join(own, _same(df, own, id_col, text_col), "left_semi")

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, repeated, settle
+from .common import ascii_lower, repeated, settle, without
 
 #: Words of a window; words of a k-gram; the separators between words once A-Z are lower-cased.
 SPAN, GRAM = 13, 5
@@ -200,9 +200,7 @@ def judged(docs: DataFrame, bench: DataFrame, **names) -> DataFrame:
 
 def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the contaminated rows; null ids are kept or dropped by their text like any other, and repeated rows together. Empty docs stay empty."""
-    bad = judged(docs, bench, id_col=id_col, text_col=text_col).where("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    bad = settle(bad)
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text_col]) == bad["_bad_hash"]), "left_anti")
+    return without(docs, judged(docs, bench, id_col=id_col, text_col=text_col).where("contaminated"), id_col, text_col)
 
 
 def result(docs: DataFrame, bench: DataFrame) -> DataFrame:

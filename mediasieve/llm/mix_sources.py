@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, ranked, repeated, settle, word_count
+from .common import few, fresh, ranked, repeated, settle, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET, MOST = 1.5, 2.0
@@ -90,15 +90,8 @@ def _node(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf
 
 
-def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 7) -> DataFrame:
-    """(doc_id, text_hash, source, size, source_size, target, copies long): one row for each row of df.
-
-    copies: how often the mix takes the document; it is the whole part of target / source_size or one more. A null text
-    has size 0 and, like any document without words, no copies beyond the whole part. A null source is a source; null and
-    repeated ids are rows of their own. Rows that repeat (id, source, text) are rounded as one, and their copies dealt
-    out among them, so however many there are, a leaf holds them once. The same input gives the same copies. An empty
-    table gives no rows.
-    """
+def _rounded(df: DataFrame, id_col: str, source_col: str, text_col: str, weights, budget: float, most: float, seed: int) -> DataFrame:
+    """(doc_id, text_hash, source, size, source_size, target, rows, whole, extra): for each distinct (id, source, text) how many rows it has, the copies that each of them gets, and how many of them get one more."""
     own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("text_hash"), word_count(F.col(text_col)).alias("size"))
     own = settle(own.groupBy("doc_id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("rows")))
     sources = own.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("n"))
@@ -124,24 +117,42 @@ def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     out = out.union(level.where("not done").withColumn("part", F.when(F.col("part") >= 0.5, 1.0).otherwise(0.0)))
     known = targets.select("rank", "source_size", "target")
     out = out.join(known, "rank").withColumn("extra", F.col("extra") + F.col("part").cast("long"))
-    # Of the rows that repeat, as many as extra says have one copy more.
+    return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "rows", "whole", "extra")
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 7) -> DataFrame:
+    """(doc_id, text_hash, source, size, source_size, target, copies long): one row for each row of df.
+
+    copies: how often the mix takes the document; it is the whole part of target / source_size or one more. A null text
+    has size 0 and, like any document without words, no copies beyond the whole part. A null source is a source; null and
+    repeated ids are rows of their own. Rows that repeat (id, source, text) are rounded as one, and their copies dealt
+    out among them, so however many there are, a leaf holds them once. The same input gives the same copies. An empty
+    table gives no rows.
+    """
+    out = _rounded(df, id_col, source_col, text_col, weights, budget, most, seed)
     more = F.array(F.struct(F.col("extra").alias("times"), (F.col("whole") + 1).alias("copies")), F.struct((F.col("rows") - F.col("extra")).alias("times"), F.col("whole").alias("copies")))
     out = out.select("doc_id", "text_hash", "source", "size", "source_size", "target", F.explode(more).alias("_x"))
     return repeated(out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "_x.copies", F.col("_x.times").alias("_times")), "_times")
 
 
-def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
-    """The mix itself: the rows of df, each as often as its copies say. Columns as in df."""
-    found = settle(mixed(df, id_col, source_col, text_col, **how))
-    keys = found.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    keys = keys.where("_copies > 0")
-    same = df[id_col].cast("long").eqNullSafe(keys["_id"]) & df[source_col].cast("string").eqNullSafe(keys["_source"]) & (F.xxhash64(df[text_col]) == keys["_hash"])
-    single = keys.where("_rows > 1").isEmpty()
-    times, mark = fresh(df, "_times"), fresh(df, "_mark")
-    joined = df.join(keys, same).select(*[df[c] for c in df.columns], keys["_copies"].alias(times), keys["_hash"].alias(mark))
-    if not single:  # rows that repeat share their copies: one of them stands for all
-        joined = joined.dropDuplicates([id_col, source_col, mark])
-    return repeated(joined.drop(mark), times)
+def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 7) -> DataFrame:
+    """The mix itself: the rows of df, each as often as its copies say. Columns as in df; an empty table gives no rows.
+
+    A source's whole copies meet its rows by source; only documents with one copy more, and rows that repeat, are named.
+    """
+    found = settle(_rounded(df, id_col, source_col, text_col, weights, budget, most, seed))
+    whole = settle(found.groupBy("source").agg(F.max("whole").alias("_whole")).withColumnRenamed("source", "_of"))
+    named = settle(found.where("extra > 0 or rows > 1").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("rows").alias("_rows"), F.col("extra").alias("_extra")))
+    times, mark, count = fresh(df, "_times"), fresh(df, "_mark"), fresh(df, "_count")
+    source = df[source_col].cast("string")
+    keys, base = few(named), few(whole)
+    same = df[id_col].cast("long").eqNullSafe(keys["_id"]) & source.eqNullSafe(keys["_source"]) & (F.xxhash64(df[text_col]) == keys["_hash"])
+    joined = df.join(keys, same, "left").join(base, source.eqNullSafe(base["_of"]))
+    joined = joined.select(*[df[c] for c in df.columns], (base["_whole"] * F.coalesce(keys["_rows"], F.lit(1)) + F.coalesce(keys["_extra"], F.lit(0))).cast("long").alias(times), keys["_hash"].alias(mark), F.coalesce(keys["_rows"], F.lit(1)).alias(count))
+    out = joined.where(F.col(count) == 1)
+    if not named.where("_rows > 1").isEmpty():  # rows that repeat share their copies: one of them stands for all
+        out = out.union(joined.where(F.col(count) > 1).dropDuplicates([id_col, source_col, mark]))
+    return repeated(out.drop(mark, count), times)
 
 
 def result(df: DataFrame) -> DataFrame:

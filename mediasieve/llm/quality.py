@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, without
 from .labelled import fit_logistic, remainder, sample, sigmoid
 
 #: Labelled rows of either label to fit on, at most; bounds of a prior's strength in documents; posterior at which a document is kept; weight of the site.
@@ -183,9 +183,7 @@ def judged(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that are rejected; rows that repeat (id and text) go or stay together."""
-    bad = judged(docs, labels).where("not keep").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    bad = settle(bad)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"]) == bad["_bad_hash"]), "left_anti")
+    return without(docs, judged(docs, labels).where("not keep"))
 
 
 def result(docs: DataFrame, labels: DataFrame) -> DataFrame:

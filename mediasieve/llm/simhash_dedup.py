@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, fresh, labels_of, settle, unsigned_hex
+from .common import components, fresh, labels_of, settle, unsigned_hex, with_keys, without
 
 RADIUS = 4
 #: Each band: (first bit, bits, bits in a segment, radius); sum of radius + 1 is RADIUS + 1. The second set has wider bands, for more fingerprints than WIDE_ABOVE.
@@ -200,7 +200,7 @@ def links(distinct_fps: DataFrame, radius: int = RADIUS, bands=BANDS, cell_point
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, text_hash, fp long, component_id): one row for each row of df.
+    """(doc_id, text_hash, fp long, component_id, root): one row for each row of df; root is the component's smallest fingerprint.
 
     component_id is the smallest id reachable over fingerprints at RADIUS bits or fewer. Texts without words, null ones
     too, have fingerprint 0 and link like any other. Repeated rows give repeated rows. A null id is never the smallest:
@@ -211,31 +211,32 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     roots = components(links(fps, bands=BANDS if fps.count() <= WIDE_ABOVE else WIDE_BANDS))
     known = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     known = settle(known)
-    named = known.join(known.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = known.join(known.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root")
+    return own.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def one_of(df: DataFrame, found: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of df that kept names (doc_id, text_hash), repeats once; found has doc_id and text_hash of all rows."""
-    keys = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    out = df.join(keys, df[id_col].cast("long").eqNullSafe(keys["_kept_id"]) & (F.xxhash64(df[text_col]) == keys["_kept_hash"]), "left_semi")
-    same = found["doc_id"].eqNullSafe(keys["_kept_id"]) & (found["text_hash"] == keys["_kept_hash"])
-    repeats = found.join(keys, same, "left_semi").groupBy("doc_id", "text_hash").count().where("count > 1")
-    if repeats.isEmpty():
+    """The rows of df that kept names (doc_id, text_hash), repeats once; found has doc_id and text_hash of all rows. Few texts move: what goes is named, not what stays."""
+    counts = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    named = kept.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"))
+    counts = settle(counts.join(named, counts["doc_id"].eqNullSafe(named["_i"]) & (counts["text_hash"] == named["_h"]), "left"))
+    out = without(df, counts.where("_h is null"), id_col, text_col)
+    several = counts.where("_h is not null and n > 1")
+    if several.isEmpty():
         return out
     mark = fresh(df, "_hash")
-    return out.withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).drop(mark)
+    again = with_keys(out, several, id_col, text_col).withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).drop(mark)
+    return without(out, several, id_col, text_col).union(again)
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each component: that with the smallest id, then the smallest text hash, then one of its repeats.
 
-    Rows with a null id can't be named by a component: of a component of null ids alone the smallest text hash stays.
+    Null ids come last: of a component of null ids alone the smallest text hash stays.
     """
-    found = simhash_components(df, id_col, text_col)
+    found = settle(simhash_components(df, id_col, text_col))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")
-    whole = F.coalesce(F.col("component_id"), F.col("fp"))
-    kept = settle(found.groupBy(F.col("component_id").isNull().alias("unnamed"), whole.alias("c")).agg(first).select("x.doc_id", "x.text_hash"))
+    kept = settle(found.groupBy("root").agg(first).select("x.doc_id", "x.text_hash"))
     return one_of(df, found, kept, id_col, text_col)
 
 
