@@ -33,36 +33,36 @@ def applied(rows: DataFrame, onsets: DataFrame, windows: DataFrame, order: str,
     """The action log of corrections (clip_filename, issue_type, corrected_onset_ms, order) handled in order.
 
     onsets (id, onset_ms): clips in the set; windows (id, grade, start_ms, rms): candidates of each source. State is that
-    of one recording: its onsets change as rows are handled, so the rows of a recording meet in one task, and only they.
+    of one recording: its onsets change as rows are handled, so the rows of a recording meet in one task, and only they;
+    its windows meet them there once. Rows whose file name doesn't fit have no recording: they are errors, and meet nowhere.
     results: corrected, replaced, removed_no_replacement, skipped, error.
     """
-    own = prepared(rows).withColumn("seq", F.col(order).cast("long"))
-    own = own.withColumn("id", F.coalesce("id", F.lit("")))
+    own = prepared(rows).withColumn("seq", F.col(order).cast("long")).withColumn("id", F.coalesce("id", F.lit("")))
     corrections = own.select("id", "clip_filename", F.lower(F.trim("issue_type")).alias("issue_type"), "issue", "grade", "onset_ms", "new_onset_ms", "seq")
-    used = onsets.groupBy("id").agg(F.sort_array(F.collect_list("onset_ms")).alias("used"))
-    wanted = corrections.select("id").distinct()
-    sounds = windows.join(wanted, "id", "left_semi").groupBy("id").agg(F.collect_list(F.struct("grade", "start_ms", "rms")).alias("sounds"))
-    both = corrections.join(used, "id", "left").join(sounds, "id", "left")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    unfit = corrections.where("id = ''").select("id", "clip_filename", "issue_type", F.lit("error").alias("result"), F.lit("").alias("new_filename"), F.lit("file name doesn't fit").alias("notes"), "seq")
+    corrections = corrections.where("id <> ''")
+    none = lambda kind: F.lit(None).cast(kind)
+    known = windows.select("id", "grade", F.col("start_ms").cast("long").alias("start_ms"), F.col("rms").cast("double").alias("rms"), none("long").alias("used"))
+    known = known.union(onsets.select("id", none("string"), none("long"), none("double"), F.col("onset_ms").cast("long")))
+    known = known.join(corrections.select("id").distinct(), "id", "left_semi")
+
+    def run(pdf: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq", kind="stable")
-        have = list(pdf["used"].iloc[0]) if pdf["used"].iloc[0] is not None else []
-        sounds = list(pdf["sounds"].iloc[0]) if pdf["sounds"].iloc[0] is not None else []
+        have = sorted(int(x) for x in around["used"].dropna())
+        sounds = around[around["start_ms"].notna()]
         out = []
         for r in pdf.itertuples():
             done, new, note = "", "", ""
-            if not r.id:
-                done, note = "error", "file name doesn't fit"
-            elif r.issue == "wrong_onset":
+            if r.issue == "wrong_onset":
                 if pd.isna(r.new_onset_ms):
                     done, note = "skipped", "missing corrected_onset_ms"
-                elif not any(s["grade"] == r.grade for s in sounds):
+                elif not (sounds["grade"] == r.grade).any():
                     done, note = "error", "no source"
                 else:
                     done, at = "corrected", int(r.new_onset_ms)
             elif r.issue == "no_bird":
-                mine = [s for s in sounds if s["grade"] == r.grade]
-                start, rms = np.array([s["start_ms"] for s in mine], np.int64), np.array([s["rms"] for s in mine])
+                mine = sounds[sounds["grade"] == r.grade]
+                start, rms = mine["start_ms"].to_numpy(np.int64), mine["rms"].to_numpy(float)
                 fit = rms >= least if (rms >= least).any() else np.ones(len(rms), bool)
                 others = [o for o in have if o != r.onset_ms]
                 order = [k for k in np.lexsort((-start, -rms)) if fit[k] and all(abs(start[k] - o) >= apart_ms for o in others)]
@@ -79,7 +79,7 @@ def applied(rows: DataFrame, onsets: DataFrame, windows: DataFrame, order: str,
             out.append((r.id, r.clip_filename, r.issue_type, done, new, note, r.seq))
         return pd.DataFrame(out, columns=[c.split()[0] for c in LOG.split(", ")])
 
-    return both.groupBy("id").applyInPandas(run, LOG)
+    return corrections.groupBy("id").cogroup(known.groupBy("id")).applyInPandas(run, LOG).union(unfit)
 
 
 def corrected_clips(clips: DataFrame, log: DataFrame, name: str = "clip_filename") -> DataFrame:

@@ -151,8 +151,12 @@ def exclusive_groups(df: DataFrame, item: str, group: str) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Mean, median and population deviation of a column."""
-    return df.agg(F.avg(column).alias("mean"), F.median(column).alias("median"), F.stddev_pop(column).alias("std"))
+    """Mean, exact median and population deviation of a column; nulls without any values. The median comes from ranks, so no task holds all values."""
+    own = df.select(F.col(column).cast("double").alias("_x")).where("_x is not null")
+    places = ranked(own, "_x", name="_at")
+    n = places.agg(F.max("_at").alias("_n"))
+    middle = places.crossJoin(F.broadcast(n)).where("_at = (_n + 1) div 2 or _at = _n div 2 + 1").agg(F.avg("_x").alias("median"))  # one row is broadcast
+    return df.agg(F.avg(column).alias("mean"), F.stddev_pop(column).alias("std")).crossJoin(F.broadcast(middle)).select("mean", "median", "std")
 
 
 def group_sizes(df: DataFrame, *key: str) -> DataFrame:

@@ -112,11 +112,11 @@ def distinct_groups(spark, d):
 
 
 @query("""
-WITH x AS (SELECT left(text, 4) AS item, lang FROM documents), w AS (SELECT item, count(DISTINCT lang) AS g, min(lang) AS alone FROM x GROUP BY item)
+WITH x AS (SELECT md5(text) AS item, lang FROM documents), w AS (SELECT item, count(DISTINCT lang) AS g, min(lang) AS alone FROM x GROUP BY item)
 SELECT lang, count(DISTINCT item) AS n_items, coalesce(max(e.n), 0) AS n_exclusive, round(100.0 * coalesce(max(e.n), 0) / (SELECT count(*) FROM w), 6) AS pct
 FROM x LEFT JOIN (SELECT alone, count(*) AS n FROM w WHERE g = 1 GROUP BY alone) e ON e.alone = lang GROUP BY lang""")
 def exclusive_groups(spark, d):
-    x = table(spark, d, "documents").select(F.left("text", F.lit(4)).alias("item"), "lang")
+    x = table(spark, d, "documents").select(F.md5("text").alias("item"), "lang")
     return hygiene.exclusive_groups(x, "item", "lang").withColumn("pct", F.round("pct", 6))
 
 

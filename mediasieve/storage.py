@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset a folder of our own, in local mode only: other machines couldn't read it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = os.path.join(tempfile.gettempdir(), "mediasieve-shared")
         os.makedirs(own, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", found := f"file://{own}")
