@@ -1,7 +1,7 @@
 """Diversity-aware balancing of groups: cap, one of each cluster, scored backfill, trim.
 
-All steps are windows over a group and ranks over the whole table; a group never meets in Python. Order is total: score,
-then salience, then the key.
+Ranks within a group come from ranks over the whole table, so a group of any size is spread over tasks. Order is total:
+score, then salience, then the key.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BALANCE
-from ..storage import first_rows, ranked, settle
+from ..storage import first_rows, ranked, ranked_within, settle
 from .hygiene import count_by, keep_first
 
 
@@ -30,11 +30,11 @@ def diverse(df: DataFrame, group: str, cluster: str, cap: int, order: list[Colum
     A row without a valid cluster (by default null or negative) leads none.
     """
     valid = F.coalesce(F.col(cluster) >= 0, F.lit(False)) if valid is None else valid
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     first = F.row_number().over(Window.partitionBy(group, cluster).orderBy(*order))
-    out = df.dropna(subset=[group]).withColumn("_dr", rank).withColumn("_follows", F.when(valid & (first == 1), 0).otherwise(1))
-    pick = F.row_number().over(Window.partitionBy(group).orderBy("_follows", "_dr"))
-    return out.withColumn("_pick", pick).where(F.col("_pick") <= cap).drop("_dr", "_follows", "_pick")
+    out = df.dropna(subset=[group]).withColumn("_follows", F.when(valid & (first == 1), 0).otherwise(1))
+    # Only the first cap rows of a group leave a task: Spark limits groups before the exchange.
+    pick = F.row_number().over(Window.partitionBy(group).orderBy("_follows", *order))
+    return out.withColumn("_pick", pick).where(F.col("_pick") <= cap).drop("_follows", "_pick")
 
 
 def backfill(rest: DataFrame, needed: int, score: Column, key: str) -> DataFrame:
@@ -83,8 +83,7 @@ def balanced(
     if not groups:
         return own
     cap = target // groups
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    own = settle(own.withColumn("_rank", rank).withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy(group))))
+    own = settle(ranked_within(own, group, *order, name="_rank", size="_size"))
     label = F.when(F.col("_size") <= clusters, F.col("_rank") - 1).otherwise(F.col(cluster)).cast("long")
     own = own.withColumn("_cluster", label)
     small = own.where(F.col("_size") <= cap)
@@ -122,8 +121,7 @@ def balanced_legacy(df: DataFrame, group: str = "species", key: str = "clip_file
     if not groups:
         return own
     cap = target // groups
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    own = settle(own.withColumn("_rank", rank))
+    own = settle(ranked_within(own, group, *order, name="_rank"))
     chosen = settle(diverse(own, group, record, cap, order, valid=F.col(record).isNotNull()))
     have = chosen.count()
     out = chosen

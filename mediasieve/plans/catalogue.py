@@ -708,7 +708,8 @@ def stream_dedup(spark, d):
     base = f"{shared_dir(spark)}/mediasieve-stream-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
     # A pattern, as the table may be one file.
-    stream = ingest.file_stream(spark, f"{d}/event[s].parquet", schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    out = ingest.deduplicated(stream, ["event_id"], "ts").select("event_id", "user_id", "event_type")
+    one = lambda: ingest.file_stream(spark, f"{d}/event[s].parquet", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    # Each event comes twice, from two sources.
+    out = ingest.deduplicated(one().unionByName(one()), ["event_id"], "ts").select("event_id", "user_id", "event_type")
     ingest.append_to(out, f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.schema("event_id long, user_id long, event_type string").parquet(f"{base}/out")

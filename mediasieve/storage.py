@@ -48,6 +48,14 @@ def ranked(df: DataFrame, *order: Column | str, name: str = "rank", start: int =
     return numbered.join(before, "_p").withColumn(name, F.col(name) + F.col("_ahead")).drop("_p", "_ahead")
 
 
+def ranked_within(df: DataFrame, group: str, *order: Column | str, name: str = "rank", size: str | None = None) -> DataFrame:
+    """df with its rank within each group, from 1, and the group's size if wanted: ranks of the whole order, less where a group begins, so that a group of any size is spread over tasks."""
+    own = settle(ranked(df, F.col(group), *order, name=name))
+    begins = own.groupBy(F.col(group).alias("_of")).agg((F.min(name) - 1).alias("_lo"), F.count(F.lit(1)).alias("_size_of"))
+    out = own.join(begins, F.col(group).eqNullSafe(F.col("_of"))).withColumn(name, F.col(name) - F.col("_lo"))
+    return (out.withColumn(size, F.col("_size_of")) if size else out).drop("_of", "_lo", "_size_of")
+
+
 #: Rows that one task may sort and hand on.
 FEW = 100_000
 

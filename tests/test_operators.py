@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mediasieve.functions import arrays as A
 from mediasieve.functions import text as X
 from mediasieve.operators import balance, clustering, corrections, graph, hygiene, metrics, neardup, quota, segments
-from mediasieve.storage import first_rows, ranked, running
+from mediasieve.storage import first_rows, ranked, ranked_within, running
 
 
 def column(spark, values, kind, f):
@@ -253,3 +253,15 @@ def test_segments_over_rows(spark):
     assert {(r["r"], r["start"]) for r in segments.loudest(w, "r").collect()} == {(1, 0), (2, 0)}
     used = spark.createDataFrame([(1, 1), (1, None)], "r int, used long")
     assert {(r["r"], r["start"]) for r in segments.away_from(w, used, "r", 2).collect()} == {(1, 4), (2, 0)}
+
+
+def test_ranks_within_groups(spark):
+    df = spark.createDataFrame([("hot", k) for k in range(500)] + [("b", 3), ("b", 1), (None, 7), (None, 5)], "g string, k long").repartition(5)
+    got = ranked_within(df, "g", "k", name="r", size="n").collect()
+    want = {("hot", k): (k + 1, 500) for k in range(500)} | {("b", 1): (1, 2), ("b", 3): (2, 2), (None, 5): (1, 2), (None, 7): (2, 2)}
+    assert {(x["g"], x["k"]): (x["r"], x["n"]) for x in got} == want and len(got) == len(want)
+
+
+def test_median_by_ranks(spark):
+    for values, median in (([3.0, 1.0, 2.0], 2.0), ([4.0, 1.0, 3.0, 2.0, None], 2.5), ([], None)):
+        assert [r["median"] for r in hygiene.describe(spark.createDataFrame([(v,) for v in values], "x double"), "x").collect()] == [median]
