@@ -12,6 +12,7 @@ from ..functions import arrays as A
 from ..functions import dsp
 from ..functions.text import seconds_clock
 from ..storage import settle
+from .graph import components
 
 #: Vectors of a block: two blocks meet in a task, as one matrix product.
 BLOCK = 4096
@@ -105,14 +106,44 @@ def with_keep_rule(pairs: DataFrame, i: str = "xc_i", j: str = "xc_j", rec_i: st
     return out.withColumn("reason", F.concat(lead, text))
 
 
-def resolved(pairs: DataFrame, order: list[str], file_i: str, file_j: str, removes: str = "removes", max_rounds: int = 10_000) -> DataFrame:
+#: Pairs of a component that one task resolves.
+COMPONENT = 100_000
+
+
+def resolved(pairs: DataFrame, order: list[str], file_i: str, file_j: str, removes: str = "removes", max_rounds: int = 10_000, at_once: int = COMPONENT) -> DataFrame:
     """pairs with taken: whether the pair removed its file when pairs are handled one by one in order, those of a removed file being skipped.
 
-    Sequential in meaning, parallel in rounds: a pair is settled as soon as no earlier open pair could remove one of its
-    files. Pairs of any number of components are settled at once, and none meets in one task; there are as many rounds
-    as the longest chain of removals that wait for one another. order must be total.
+    Pairs bear on one another only within a component of files. Components of up to at_once pairs are handled one by one,
+    each in a task, as narrow rows; larger ones in rounds, in which none meets in a task. order must be total. A null file
+    is no file: it is never removed.
     """
-    own = settle(pairs.withColumn("_o", F.struct(*order)).withColumn("_gone", F.when(F.col(removes) == "j", F.col(file_j)).otherwise(F.col(file_i))))
+    name = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c)))
+    gone = F.when(F.col(removes) == "j", F.col(file_j)).otherwise(F.col(file_i))
+    own = settle(pairs.withColumns({"_o": F.struct(*order), "_gone": gone, "_a": name(file_i), "_b": name(file_j)}))
+    roots = components(own.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    node = F.coalesce("_a", "_b", F.xxhash64("_o"))
+    own = own.withColumn("_node", node).join(roots, F.col("_node") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_node")).drop("_a", "_b", "_node", "node", "root")
+    sizes = own.groupBy(F.col("_root").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    own = settle(own.join(sizes, F.col("_root") == F.col("_of")).drop("_of"))
+    few, many = own.where(F.col("_n") <= at_once).drop("_n"), own.where(F.col("_n") > at_once).drop("_n", "_root")
+    few = few.withColumn("_k", F.row_number().over(Window.partitionBy("_root").orderBy("_o")))
+
+    def handle(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, removed, taken = pdf.sort_values("k"), set(), []
+        for i, j, g in zip(pdf["i"], pdf["j"], pdf["g"], strict=True):
+            taken.append(i not in removed and j not in removed)
+            if taken[-1] and not pd.isna(g):
+                removed.add(g)
+        return pdf[["r", "k"]].assign(taken=taken)
+
+    text = lambda c, to: F.col(c).cast("string").alias(to)
+    said = few.select(F.col("_root").alias("r"), F.col("_k").alias("k"), text(file_i, "i"), text(file_j, "j"), text("_gone", "g")).groupBy("r").applyInPandas(handle, "r long, k int, taken boolean")
+    few = few.join(said, (F.col("_root") == F.col("r")) & (F.col("_k") == F.col("k"))).drop("_root", "_k", "r", "k", "_o", "_gone")
+    return few if many.isEmpty() else few.unionByName(_in_rounds(many, file_i, file_j, max_rounds))
+
+
+def _in_rounds(own: DataFrame, file_i: str, file_j: str, max_rounds: int) -> DataFrame:
+    """resolved() for pairs with their order _o and the file _gone that they would remove: a pair is settled as soon as no earlier open pair could remove one of its files. As many rounds as the longest chain of removals that wait for one another."""
     left, done = own, []
     for _ in range(max_rounds):
         if left.isEmpty():
@@ -133,7 +164,7 @@ def resolved(pairs: DataFrame, order: list[str], file_i: str, file_j: str, remov
         left = late.where("not _skip").drop("_skip")
     else:
         raise RuntimeError(f"pairs not settled after {max_rounds} rounds")
-    out = done[0] if done else own.withColumn("taken", F.lit(False))
+    out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out.drop("_o", "_gone")

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..functions import dsp
 from ..functions import text as X
 from ..operators import balance, clustering, corrections, hygiene, metrics, neardup, quota, segments
+from ..sources import sinks, tables
 from ..storage import first_rows, shared_dir
 from ..streaming import ingest
 from .pipeline import run_matrix
@@ -464,7 +468,10 @@ def replacement_window(spark, d):
     return segments.replacement(w, used, "user_id", APART, LOUD).select("user_id", "start")
 
 
-@query()
+@query(f"""WITH {WINDOWS}, a AS (SELECT user_id, arg_min(start, (-rms, start)) AS x FROM windows GROUP BY 1),
+b AS (SELECT user_id, any_value(x) AS x, arg_min(start, (-rms, start)) AS y FROM windows JOIN a USING (user_id) WHERE abs(start - x) >= {APART} GROUP BY 1),
+c AS (SELECT user_id, arg_min(start, (-rms, start)) AS z FROM windows JOIN b USING (user_id) WHERE abs(start - x) >= {APART} AND abs(start - y) >= {APART} GROUP BY 1)
+SELECT user_id, x AS start, 1 AS place FROM a UNION ALL SELECT user_id, y, 2 FROM b UNION ALL SELECT user_id, z, 3 FROM c""")
 def greedy_separated_windows(spark, d):
     return segments.separated(windows(spark, d), "user_id", 3, APART).select("user_id", "start", "place")
 
@@ -557,7 +564,8 @@ def keep_rule(spark, d):
     return neardup.with_keep_rule(_pairs(spark, d), "i", "j").select("i", "j", "same_recordist", "removed", "kept")
 
 
-@query()
+@query(f"""WITH {PAIRS} SELECT i, j, CASE WHEN rec_i = rec_j THEN i ELSE j END AS removed,
+  count(*) FILTER (rec_i = rec_j) OVER (PARTITION BY i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 0 AS taken FROM pairs""")
 def greedy_resolution(spark, d):
     return neardup.resolved(neardup.with_keep_rule(_pairs(spark, d), "i", "j"), ["i", "j"], "i", "j").select("i", "j", "removed", "taken")
 
@@ -688,16 +696,251 @@ def _log(spark: SparkSession, d: str) -> DataFrame:
     return corrections.applied(rows, onsets, w, "doc_id")
 
 
-@query()
+_CUT = "CASE WHEN list_contains({0}, {1}) THEN list_concat({0}[:list_position({0}, {1}) - 1], {0}[list_position({0}, {1}) + 1:]) ELSE {0} END"
+LOG = f"""
+{ISSUES}, parts AS (
+  SELECT doc_id, CAST(doc_id % 97 AS VARCHAR) AS id, doc_id % 11 > 0 AS fits, doc_id % 7 * 1000 AS onset_ms, issue AS issue_type, try_cast(nullif(onset, '') AS BIGINT) AS fixed,
+    CASE WHEN issue <> 'noise_dominated' THEN issue WHEN onset <> '' THEN 'wrong_onset' ELSE 'no_bird' END AS issue,
+    'xc' || doc_id % 97 || CASE WHEN doc_id % 11 = 0 THEN '_U_' ELSE '_A_' END || doc_id % 7 * 1000 || '.wav' AS clip_filename FROM qa
+), steps AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS step FROM parts WHERE fits),
+held AS (SELECT id, list(DISTINCT onset_ms) AS have FROM steps GROUP BY id),
+quiet AS (SELECT id, [s FOR s IN list_reverse_sort([{{'r': (CAST(id AS BIGINT) * 31 + k * 500 * 7) % 101, 's': CAST(k * 500 AS BIGINT)}} FOR k IN range(19)])] AS w FROM held),
+loud AS MATERIALIZED (SELECT id, CASE WHEN len(list_filter(w, lambda x: x.r >= 5)) > 0 THEN list_filter(w, lambda x: x.r >= 5) ELSE w END AS w FROM quiet),
+run(id, step, have, doc_id, result, spot) AS (
+  SELECT id, CAST(0 AS BIGINT), have, CAST(-1 AS BIGINT), '', CAST(NULL AS BIGINT) FROM held
+  UNION ALL
+  SELECT id, step, CASE WHEN spot IS NOT NULL THEN list_append(cut, spot) WHEN result = 'removed_no_replacement' THEN cut ELSE have END, doc_id, result, spot FROM (
+    SELECT *, CASE WHEN issue = 'wrong_onset' THEN CASE WHEN fixed IS NULL THEN 'skipped' ELSE 'corrected' END WHEN issue = 'no_bird' THEN CASE WHEN pick IS NULL THEN 'removed_no_replacement' ELSE 'replaced' END ELSE 'skipped' END AS result,
+      CASE issue WHEN 'wrong_onset' THEN fixed WHEN 'no_bird' THEN pick END AS spot FROM (
+      SELECT s.id, s.step, r.have, s.doc_id, s.issue, s.fixed, {_CUT.format("r.have", "s.onset_ms")} AS cut,
+        list_filter(l.w, lambda x: len(list_filter(r.have, lambda o: o <> s.onset_ms AND abs(x.s - o) < 1500)) = 0)[1].s AS pick
+      FROM run r JOIN steps s ON s.id = r.id AND s.step = r.step + 1 JOIN loud l ON l.id = r.id)))
+, log AS (
+  SELECT p.id, p.clip_filename, p.issue_type, r.result, CASE WHEN r.spot IS NULL THEN '' ELSE 'xc' || p.id || '_A_' || r.spot || '.wav' END AS new_filename,
+    CASE WHEN r.result <> 'skipped' THEN '' WHEN p.issue = 'wrong_onset' THEN 'missing corrected_onset_ms' ELSE 'unknown issue_type: ' || p.issue_type END AS notes, p.doc_id AS seq FROM run r JOIN parts p ON p.doc_id = r.doc_id WHERE r.step > 0
+  UNION ALL SELECT '', clip_filename, issue_type, 'error', '', 'file name doesn''t fit', doc_id FROM parts WHERE NOT fits
+)"""
+
+
+@query(f"WITH RECURSIVE {LOG} SELECT * FROM log")
 def apply_corrections(spark, d):
     return _log(spark, d)
 
 
-@query()
+@query(f"""WITH RECURSIVE {LOG}, n AS (SELECT count(*) FILTER (result = 'corrected') AS corrected, count(*) FILTER (result = 'replaced') AS replaced, count(*) FILTER (result = 'removed_no_replacement') AS not_replaced, count(*) FILTER (result = 'skipped') AS skipped, count(*) FILTER (result = 'error') AS errors FROM log)
+SELECT *, -not_replaced AS net_change, replaced - not_replaced AS net_change_compat FROM n""")
 def net_change(spark, d):
     return corrections.summary(_log(spark, d))
 
 
+# Names, files and tables of files
+
+FILES = """
+files AS (
+  SELECT doc_id, lang, source, '/data/' || source || '/' || lang || '/rec.' || doc_id || CASE doc_id % 4 WHEN 0 THEN '.flac' WHEN 1 THEN '.WAV' WHEN 2 THEN '.txt' ELSE '.mp3' END AS path,
+    CASE doc_id % 7 WHEN 0 THEN 'no score' WHEN 1 THEN ' b' WHEN 2 THEN 'C' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'Unrated' ELSE 'a' END AS raw, n_chars % 3 AS bytes
+  FROM documents
+)"""
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id")
+    ext = F.when(n % 4 == 0, ".flac").when(n % 4 == 1, ".WAV").when(n % 4 == 2, ".txt").otherwise(".mp3")
+    raw = F.when(n % 7 == 0, "no score").when(n % 7 == 1, " b").when(n % 7 == 2, "C").when(n % 7 == 3, "").when(n % 7 == 5, "Unrated").when(n % 7 == 6, "a")
+    path = F.concat(F.lit("/data/"), "source", F.lit("/"), "lang", F.lit("/rec."), n.cast("string"), ext)
+    return table(spark, d, "documents").select("doc_id", "lang", "source", path.alias("path"), raw.alias("raw"), (F.col("n_chars") % 3).alias("bytes"))
+
+
+@query(f"""WITH {FILES}, g AS (SELECT *, CASE doc_id % 7 WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 6 THEN 'A' ELSE 'U' END AS grade FROM files)
+SELECT doc_id, grade, nullif(trim(raw), '') AS cleaned, 'xc' || doc_id || '_' || grade || '.flac' AS output, 'rec.' || doc_id AS stem, lang AS folder, source AS top, md5(path) AS cache FROM g""")
+def file_names(spark, d):
+    p = _files(spark, d)
+    return p.select("doc_id", X.grade_of("raw").alias("grade"), X.cleaned("raw").alias("cleaned"), X.output_name(F.concat("doc_id", F.lit(".0")), "raw").alias("output"), X.stem("path").alias("stem"), X.folder("path").alias("folder"), X.top_folder("path", "/data").alias("top"), X.cache_key("path").alias("cache"))
+
+
+@query(f"WITH {FILES} SELECT doc_id, CASE WHEN doc_id % 4 <> 2 AND bytes > 0 AND doc_id % 5 <> 0 THEN 1 ELSE 0 END AS valid FROM files WHERE lang <> 'fr'")
+def valid_files(spark, d):
+    name = F.concat(F.when(F.col("doc_id") % 5 == 0, ".").otherwise(""), X.base_name("path"))
+    own = _files(spark, d).withColumn("folder", X.folder("path"))
+    return tables.without_folders(own, ["fr"]).select("doc_id", tables.valid_audio(name, F.col("bytes")).cast("int").alias("valid"))
+
+
+@query("SELECT event_id, CAST(round_even(event_id * 1000 / CAST(16000 AS DOUBLE), 0) AS BIGINT) AS rounded, event_id * 1000 // 16000 AS cut FROM events")
+def onset_two_roundings(spark, d):
+    return table(spark, d, "events").select("event_id", X.onset_ms("event_id").alias("rounded"), X.onset_ms_floor("event_id").alias("cut"))
+
+
+@query("SELECT doc_id, round(0.0001 + (0.01 - 0.0001) * 0.5 * (1 + cos(pi() * least(doc_id / CAST(150 AS DOUBLE), 1))), 8) AS rate FROM documents")
+def cosine_rate(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.round(X.cosine_decay("doc_id", 150, 0.01, 0.0001), 8).alias("rate"))
+
+
+@query("""SELECT 'flags' AS kind, CAST(doc_id AS VARCHAR) AS key FROM documents WHERE n_chars % 3 = 0
+UNION ALL SELECT 'classes', 'c.' || doc_id FROM documents WHERE n_chars % 27 NOT IN (23, 24)
+UNION ALL SELECT 'categories', 'e.' || doc_id FROM documents WHERE n_chars % 5 <> 1 AND n_chars % 5 <> 3""")
+def negative_manifests(spark, d):
+    docs, n = table(spark, d, "documents"), F.col("n_chars")
+    name = lambda lead: F.concat(F.lit(lead), "doc_id", F.lit(".wav"))
+    flags = docs.select(F.col("doc_id").cast("string").alias("itemid"), (n % 3).alias("hasbird"))
+    classes = docs.select(name("c.").alias("Dataset File Name"), (n % 27).alias("Class ID"))
+    kinds = docs.select(name("e.").alias("filename"), F.when(n % 5 == 1, "rooster").when(n % 5 == 3, "chirping_birds").otherwise("rain").alias("category"))
+    return hygiene.union_all([tables.negatives(m, k).select(F.lit(k).alias("kind"), "key") for k, m in (("flags", flags), ("classes", classes), ("categories", kinds))])
+
+
+@query(f"""WITH {FILES}, s AS (SELECT doc_id // 2 AS id, CASE doc_id % 2 WHEN 0 THEN 'A' ELSE 'B' END AS g, '/f/' || lang || '/xc' || doc_id // 2 || '_' || CASE doc_id % 2 WHEN 0 THEN 'a' ELSE 'B' END || '.flac' AS path FROM files)
+SELECT f.doc_id, (SELECT min(s.path) FROM s WHERE s.id = f.doc_id AND s.g = 'A') AS source_path FROM files f""")
+def clip_source(spark, d):
+    own = _files(spark, d)
+    half = F.floor(F.col("doc_id") / 2).cast("string")
+    path = F.concat(F.lit("/f/"), "lang", F.lit("/xc"), half, F.when(F.col("doc_id") % 2 == 0, "_a").otherwise("_B"), F.lit(".flac"))
+    clips = own.select("doc_id", F.col("doc_id").cast("string").alias("id"), F.lit("a").alias("grade"))
+    return tables.with_source(clips, own.select(path.alias("path"))).select("doc_id", "source_path")
+
+
+@query(f"""WITH {META}, m AS (SELECT id, 'sp' || n_chars % 5 AS species, CASE doc_id % 2 WHEN 0 THEN 'de' END AS fetch_country FROM meta WHERE trim(id) <> '')
+SELECT species, fetch_country, count(*) AS n, min(id) AS least FROM m GROUP BY ALL""")
+def fetched_union(spark, d):
+    rows = meta(spark, d).select("doc_id", "id", F.concat(F.lit("sp"), (F.col("n_chars") % 5).cast("string")).alias("en"), F.lit("x").alias("sono"))
+    one = hygiene.with_provenance(rows.where("doc_id % 2 = 0"), "de")
+    both = hygiene.drop_heavy(hygiene.union_all([one, rows.where("doc_id % 2 = 1")]))
+    assert "sono" not in both.columns
+    kept = hygiene.renamed(hygiene.require(hygiene.non_blank(both, "id", "en"), ["id", "en"]))
+    return kept.groupBy("species", "fetch_country").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+
+
+@query(f"""WITH {META}, k AS (SELECT doc_id % 50 AS key, doc_id, file, n_chars, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id DESC) AS rn FROM meta WHERE doc_id % 50 <> 7)
+SELECT key, file, n_chars FROM k WHERE rn = 1""")
+def csv_keyed(spark, d):
+    import uuid
+
+    path = f"{shared_dir(spark)}/mediasieve-csv-{uuid.uuid4().hex}"
+    n = F.col("doc_id") % 50
+    key = F.when(n == 7, "x7").otherwise(F.concat(F.lit(" "), n.cast("string")))
+    sinks.write_csv(meta(spark, d).select("doc_id", key.alias("key"), "file", "n_chars"), path)
+    rows = tables.csv_checked(spark, path, ["key", "file"]).withColumn("doc_id", F.col("doc_id").cast("long"))
+    last = tables.keyed(rows, "key", ["doc_id"]).select("key", "file")
+    typed = tables.csv_typed(spark, path, "doc_id long, key string, file string, n_chars long").select(F.trim("key").try_cast("long").alias("key"), "doc_id", "n_chars")
+    newest = hygiene.keep_last(typed.where("key is not null"), ["key"], ["doc_id"]).select("key", "n_chars")
+    return last.join(newest, "key")
+
+
+@query(f"WITH {CLIPS} SELECT count(*) AS n FROM (SELECT DISTINCT species, cluster_id FROM clips WHERE cluster_id - 1 >= 0)")
+def cluster_total(spark, d):
+    return clustering.cluster_counts(clips(spark, d).withColumn("cluster_id", F.col("cluster_id") - 1), "species")
+
+
+@query(f"""WITH {CLIPS}, s AS (SELECT species, country FROM clips), x AS (SELECT species, count(*) AS n FROM s GROUP BY 1)
+SELECT 'by_country' AS part, country AS name, count(*) AS n FROM s GROUP BY 2 UNION ALL SELECT 'distinct_species', '', count(*) FROM x
+UNION ALL (SELECT 'top', species, n FROM x ORDER BY n DESC, species LIMIT 10) UNION ALL (SELECT 'bottom', species, n FROM x ORDER BY n, species LIMIT 10)
+UNION ALL SELECT 'exclusive', country, count(DISTINCT species) FROM s GROUP BY 2""")
+def metadata_report(spark, d):
+    own = clips(spark, d).select(F.col("species").alias("en"), F.col("country").alias("cnt"))
+    lost = own.select(F.lit("Unknown").alias("en"), "cnt").unionByName(own.select("en", F.lit(" ").alias("cnt")))
+    parts = hygiene.statistics(own.unionByName(lost))
+    named = {"by_country": ("cnt", "n"), "distinct_species": (None, "n"), "top": ("en", "n"), "bottom": ("en", "n"), "exclusive": ("cnt", "n_exclusive")}
+    return hygiene.union_all([parts[p].select(F.lit(p).alias("part"), (F.col(k) if k else F.lit("")).alias("name"), F.col(v).alias("n")) for p, (k, v) in named.items()])
+
+
+# Arrays
+
+SAMPLES = "s AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, count(*) OVER (PARTITION BY user_id) AS n, value / max(abs(value)) OVER (PARTITION BY user_id) AS v FROM events)"
+
+
+def _weighted(y: Column) -> Column:
+    """Sum of an array's elements times their places, so that places count."""
+    return F.round(A.total(F.transform(y, lambda v, k: v * (k + 1))), 4)
+
+
+@query(f"""WITH {SAMPLES}, r AS (SELECT user_id, sum(v * (t.k + 1)) AS x FROM s, range(200) t(k) WHERE s.k = t.k % s.n + 1 GROUP BY user_id)
+SELECT s.user_id, round(sum(v * k) FILTER (k <= 60), 4) AS cut, round(max(r.x), 4) AS repeated, round(sum((v - lo) / (hi - lo) * k), 4) AS scaled, round(sum(v * k) / sqrt(sum(v * v)), 4) AS unit,
+  round(sum(CASE WHEN k % 3 = 0 THEN 0 ELSE v * k END), 4) AS finite, max(abs(v * (s.user_id % 2))) >= 0.9999 AS clipped, round(sum((v + v * v) / 2 * k), 4) AS mono, round(sqrt(sum(v * v) / count(*)), 6) AS rms
+FROM (SELECT *, min(v) OVER (PARTITION BY user_id) AS lo, max(v) OVER (PARTITION BY user_id) AS hi FROM s) s JOIN r ON r.user_id = s.user_id GROUP BY s.user_id""")
+def wave_shapes(spark, d):
+    y = _waves(spark, d)
+    bad = F.transform("y", lambda v, k: F.when((k + 1) % 6 == 0, float("nan")).when((k + 1) % 3 == 0, float("-inf")).otherwise(v))
+    return y.select(
+        "user_id",
+        _weighted(A.fitted("y", 60)).alias("cut"),
+        _weighted(A.repeated("y", 200)).alias("repeated"),
+        _weighted(A.min_max("y")).alias("scaled"),
+        _weighted(A.unit("y")).alias("unit"),
+        _weighted(A.finite(bad)).alias("finite"),
+        A.clipped(F.transform("y", lambda v: v * (F.col("user_id") % 2))).alias("clipped"),
+        _weighted(A.mono("y", F.transform("y", lambda v: v * v))).alias("mono"),
+        F.round(A.rms("y"), 6).alias("rms"),
+    )
+
+
+@query("""WITH x AS (SELECT vec_id, (k - 1) // 8 AS band, CAST(embedding[k] AS DOUBLE) AS v FROM embeddings, range(1, 65) t(k))
+SELECT vec_id, band, round(avg(v), 4) + 0 AS mean, round(stddev_pop(v), 4) AS std FROM x GROUP BY vec_id, band""")
+def pooled_bands(spark, d):
+    @F.pandas_udf("array<float>")
+    def pooled(vs: pd.Series) -> pd.Series:
+        return vs.map(lambda v: dsp.pooled(np.asarray(v, np.float64).reshape(8, 8)))
+
+    p = table(spark, d, "embeddings").select("vec_id", pooled("embedding").alias("p")).select("vec_id", "p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("band"))
+    at = lambda k: F.round(F.get("p", k.cast("int")).cast("double"), 4) + 0.0
+    return p.select("vec_id", "band", at(F.col("band")).alias("mean"), at(F.col("band") + 8).alias("std"))
+
+
+# Pairs
+
+
+@query(f"""WITH {NEAR}, m AS (SELECT vec_id, CASE WHEN vec_id % 5 > 0 THEN CAST(vec_id % 3 AS DOUBLE) END AS dur FROM embeddings)
+SELECT c.i, c.j, round(sim, 6) AS sim, a.dur AS dur_i, b.dur AS dur_j FROM cand c JOIN m a ON a.vec_id = c.i JOIN m b ON b.vec_id = c.j WHERE abs(a.dur - b.dur) <= 1 OR (a.dur IS NULL AND b.dur IS NULL)""")
+def candidates_by_duration(spark, d):
+    own, near = _near(spark, d)
+    timed = own.withColumn("dur", F.when(F.col("vec_id") % 5 > 0, (F.col("vec_id") % 3).cast("double")))
+    return neardup.candidates(near, timed, "vec_id", "label", "dur", 0.35).select("i", "j", F.round("sim", 6).alias("sim"), "dur_i", "dur_j")
+
+
+SHIFTS = "CASE vec_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 0.00000001 WHEN 2 THEN 0.015 ELSE 0.1 END"
+
+
+@query(f"""WITH f AS (SELECT vec_id, k, CAST(embedding[k] AS DOUBLE) AS x, CAST(embedding[k] AS DOUBLE) + CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END * CAST({SHIFTS} AS DOUBLE) AS y FROM embeddings, range(1, 65) t(k)),
+s AS (SELECT vec_id, (k - 1) // 8 AS w, sum(x * y) / sqrt(sum(x * x) * sum(y * y)) AS s, max(abs(x - y) - 0.0000001 - 0.00001 * abs(y)) AS far FROM f GROUP BY ALL),
+g AS (SELECT vec_id, avg(s) AS m, min(s) AS l, quantile_cont(s, 0.05) AS p, max(far) <= 0 AS close FROM s GROUP BY vec_id)
+SELECT vec_id AS i, CASE WHEN close OR m >= 0.999 THEN 'perfect' WHEN m >= 0.997 AND l >= 0.985 AND p >= 0.992 THEN 'near' END AS kind FROM g""")
+def pair_kinds(spark, d):
+    own = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    n = F.col("vec_id")
+    shift = F.when(n % 4 == 0, 0.0).when(n % 4 == 1, 0.00000001).when(n % 4 == 2, 0.015).otherwise(0.1)
+    moved = own.withColumn("v", F.transform("v", lambda x, k: x + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * shift)).withColumn("vec_id", -n - 1)
+    pairs = own.select(n.alias("i"), (-n - 1).alias("j"))
+    return neardup.verified(pairs, own.unionByName(moved), "vec_id", "v", 8).select("i", "kind")
+
+
+@query(f"""WITH {META}, {PAIRS}, m AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 16000 WHEN 1 THEN 44100 END AS sr,
+  coalesce(CAST(CASE doc_id % 7 WHEN 0 THEN 2 WHEN 1 THEN 65 WHEN 2 THEN 3600 WHEN 6 THEN n_chars % 60 END AS DOUBLE), 0) AS s FROM meta)
+SELECT i, j, a.sr AS sr_i, b.sr AS sr_j, a.sr = b.sr AS sample_rate_match, a.s AS seconds_i, b.s AS seconds_j FROM pairs JOIN m a ON a.doc_id = i JOIN m b ON b.doc_id = j""")
+def pair_differences(spark, d):
+    n = F.col("doc_id")
+    known = meta(spark, d).withColumn("smp", F.when(n % 3 == 0, "16000").when(n % 3 == 1, "44100").otherwise("n/a"))
+    return neardup.differences(_pairs(spark, d).select("i", "j"), known, "doc_id").select("i", "j", "sr_i", "sr_j", "sample_rate_match", "seconds_i", "seconds_j")
+
+
+@query(f"""WITH {PAIRS}, k AS (SELECT *, CASE WHEN rec_i = rec_j THEN i ELSE j END AS removed, CASE WHEN rec_i = rec_j THEN j ELSE i END AS kept FROM pairs)
+SELECT 'near | ' || removed || ' | ' || kept || ' | near duplicate (0.9900); ' || CASE WHEN rec_i = rec_j THEN 'one recordist (' || rec_i || '): newer XC' || kept || ' kept, older XC' || removed || ' removed'
+  ELSE 'recordists differ (''' || rec_i || ''', ''' || rec_j || '''): older XC' || kept || ' kept, newer XC' || removed || ' removed' END AS line FROM k""")
+def duplicate_report(spark, d):
+    pairs = _pairs(spark, d).withColumns({"sim": F.lit(0.99), "kind": F.lit("near")})
+    return neardup.report(neardup.with_keep_rule(pairs, "i", "j", sim="sim"))
+
+
+@query(f"""WITH RECURSIVE {NEAR}, o AS MATERIALIZED (SELECT i, j, (i + j) % 3 = 0 AS second, row_number() OVER (ORDER BY sim DESC, i, j) AS rn FROM cand),
+run(rn, i, j, removed, taken, gone) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), false, CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT o.rn, o.i, o.j, CASE WHEN second THEN o.j ELSE o.i END, NOT list_contains(gone, o.i) AND NOT list_contains(gone, o.j),
+    CASE WHEN NOT list_contains(gone, o.i) AND NOT list_contains(gone, o.j) THEN list_append(gone, CASE WHEN second THEN o.j ELSE o.i END) ELSE gone END
+  FROM run JOIN o ON o.rn = run.rn + 1)
+SELECT i, j, removed, taken FROM run WHERE rn > 0""")
+def greedy_resolution_chains(spark, d):
+    pairs = _candidates(spark, d)[1].withColumn("removes", F.when((F.col("i") + F.col("j")) % 3 == 0, "j").otherwise("i")).withColumn("least", -F.col("sim"))
+    out = neardup.resolved(pairs, ["least", "i", "j"], "i", "j")
+    return out.select("i", "j", F.when(F.col("removes") == "j", F.col("j")).otherwise(F.col("i")).alias("removed"), "taken")
+
+
 # Streaming
 
 

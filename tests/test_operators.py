@@ -158,6 +158,17 @@ def test_resolution_is_sequential(spark, seed):
     df = spark.createDataFrame(pairs, "i long, j long, removes string")
     got = {(r["i"], r["j"]): r["taken"] for r in neardup.resolved(df, ["i", "j"], "i", "j").collect()}
     assert got == greedy(pairs)
+    rounds = neardup.resolved(df, ["i", "j"], "i", "j", at_once=1)
+    assert {(r["i"], r["j"]): r["taken"] for r in rounds.collect()} == greedy(pairs)
+
+
+def test_greedy_resolution_of_a_long_chain(spark):
+    """Each pair waits for the one before; null files stand for none and never go."""
+    chain = [(k, k + 1, "j") for k in range(5000)]
+    df = spark.createDataFrame([*chain, (None, 5000, "i"), (None, None, "j")], "i long, j long, removes string").withColumn("o", F.monotonically_increasing_id())
+    got = neardup.resolved(df, ["o"], "i", "j").collect()
+    assert {r["i"]: r["taken"] for r in got if r["i"] is not None} == {k: k % 2 == 0 for k in range(5000)}
+    assert [r["taken"] for r in got if r["i"] is None] == [True, True]
 
 
 def test_keep_rule(spark):
