@@ -8,6 +8,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from . import flac
+
 RATE = 16_000
 
 
@@ -38,7 +40,9 @@ def write_wav(y: np.ndarray, rate: int = RATE) -> bytes:
 
 
 def duration(content: bytes) -> float | None:
-    """Seconds a wav says it has; None where it can't be read."""
+    """Seconds a wav or FLAC says it has; None where it can't be read."""
+    if content[:4] == flac.MAGIC:
+        return flac.duration(content)
     try:
         with wave.open(io.BytesIO(content)) as w:
             return w.getnframes() / w.getframerate()
@@ -67,7 +71,8 @@ def resample(y: np.ndarray, rate: int, to: int = RATE, zeros: int = 16) -> np.nd
 
 
 def load(content: bytes, rate: int = RATE) -> np.ndarray:
-    y, own = read_wav(content)
+    """Samples of a PCM wav or a FLAC file, mono, at a rate."""
+    y, own = flac.read(content) if content[:4] == flac.MAGIC else read_wav(content)
     return resample(y, own, rate)
 
 

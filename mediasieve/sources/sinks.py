@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dsp
+from ..functions import dsp, flac
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -50,6 +50,18 @@ def with_wav(clips: DataFrame, samples: str = "samples", rate: int = dsp.RATE) -
     return clips.withColumn("content", encode(samples))
 
 
+def with_flac(clips: DataFrame, samples: str = "samples", rate: int = dsp.RATE) -> DataFrame:
+    """clips with content, the samples as a mono 16-bit FLAC file; null where there are none."""
+
+    @F.pandas_udf("binary")
+    def encode(ys):
+        import numpy as np
+
+        return ys.map(lambda y: None if y is None else flac.write(np.asarray(y, np.float32), rate))
+
+    return clips.withColumn("content", encode(samples))
+
+
 def write_files(df: DataFrame, put: Callable[[str, bytes], None], name: str = "name", content: str = "content") -> None:
     """Hands each file to put, in the tasks. put must bear being called again for a name, as tasks may be tried again."""
 
