@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as X
-from .operators import balance, corrections, hygiene, metrics, quota
+from .operators import balance, corrections, hygiene, metrics, neardup, quota, segments
 from .plans import catalogue, pipeline
-from .sources import sinks, tables
+from .sources import rest, sinks, tables
+from .storage import settle
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -25,6 +26,34 @@ def classify(spark, a) -> DataFrame:
     return pipeline.recordings(read(spark, a.input))
 
 
+def download(spark, a) -> DataFrame:
+    """The files of recordings that are to be fetched, with content, bytes, error and elapsed_s; --limit counts rows of the input."""
+    rows = read(spark, a.input)
+    rows = pipeline.recordings(rows if a.limit is None else rows.limit(a.limit)).where("status = 'ok'").drop("status", "error")
+    return rest.downloaded(rows, "file", "xc_id")
+
+
+def _waves(spark, a) -> DataFrame:
+    return segments.decoded(tables.files(spark, a.input, content=True))
+
+
+def extract(spark, a) -> DataFrame:
+    """Clips of the loudest windows of the audio files below a folder, as wav or FLAC, or why there are none."""
+    clips = segments.positive_clips(_waves(spark, a).withColumnRenamed("reason", "decode_reason"), count=a.count)
+    clips = clips.withColumns({"reason": F.coalesce("decode_reason", "reason"), "clip_filename": X.clip_name(X.stem("name"), "onset_ms")}).drop("decode_reason")
+    return (sinks.with_flac if a.flac else sinks.with_wav)(clips).drop("samples")
+
+
+def dedup(spark, a) -> str | DataFrame:
+    """Duplicate pairs of the audio files below a folder, which of each goes, and the report; --meta names their recordists."""
+    waves = settle(_waves(spark, a).withColumn("rec_id", X.record_number("name")).where("samples is not null and rec_id > 0"))
+    waves = hygiene.keep_first(waves, ["rec_id"], [F.asc("path")])
+    known = tables.keyed(read(spark, a.meta), "id", ["rec"]).select(F.col("id").alias("rec_id"), "rec")
+    meta = waves.select("rec_id", X.source_key("name").alias("source"), "seconds").join(known, "rec_id", "left")
+    pairs = settle(pipeline.duplicates(waves.select("rec_id", "samples"), meta)[0])
+    return pairs if a.output else sinks.report_text("Duplicates", {"totals": neardup.totals(pairs), "pairs": neardup.report(pairs.orderBy(F.desc("sim"), "i", "j"))}, rows=a.rows)
+
+
 def balanced(spark, a) -> DataFrame:
     df = hygiene.renamed(read(spark, a.input))
     score = F.col("quality_score").try_cast("int") if "quality_score" in df.columns else X.grade_score(X.name_grade(a.key), 5, 3)
@@ -74,6 +103,9 @@ def main(argv: list[str] | None = None) -> None:
     label = ("--label", {"default": "label"})
     command(analyze, ("--species", {"default": "en"}), ("--country", {"default": "cnt"}))
     command(classify)
+    command(download, ("--limit", {"type": int}))
+    command(extract, ("--count", {"type": int, "default": 1}), ("--flac", {"action": "store_true"}))
+    command(dedup, ("--meta", {"required": True}), ("--rows", {"type": int, "default": 1000}))
     command(balanced, key, ("--target", {"type": int, "default": 25_000}), ("--mode", {"default": "compatible", "choices": ["compatible", "strict"]}))
     command(pages, key, ("--samples", {"type": int, "default": 500}))
     command(split, key, label)

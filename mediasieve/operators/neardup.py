@@ -114,17 +114,21 @@ def resolved(pairs: DataFrame, order: list[str], file_i: str, file_j: str, remov
     """pairs with taken: whether the pair removed its file when pairs are handled one by one in order, those of a removed file being skipped.
 
     Pairs bear on one another only within a component of files. Components of up to at_once pairs are handled one by one,
-    each in a task, as narrow rows; larger ones in rounds, in which none meets in a task. order must be total. A null file
+    each in a task, as narrow rows (all pairs in one, if they are no more); larger ones in rounds, in which none meets in
+    a task. order must be total. A null file
     is no file: it is never removed.
     """
     name = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c)))
     gone = F.when(F.col(removes) == "j", F.col(file_j)).otherwise(F.col(file_i))
     own = settle(pairs.withColumns({"_o": F.struct(*order), "_gone": gone, "_a": name(file_i), "_b": name(file_j)}))
-    roots = components(own.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
-    node = F.coalesce("_a", "_b", F.xxhash64("_o"))
-    own = own.withColumn("_node", node).join(roots, F.col("_node") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_node")).drop("_a", "_b", "_node", "node", "root")
-    sizes = own.groupBy(F.col("_root").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
-    own = settle(own.join(sizes, F.col("_root") == F.col("_of")).drop("_of"))
+    if own.count() <= at_once:  # one task can handle them all
+        own = own.withColumns({"_root": F.lit(0).cast("long"), "_n": F.lit(0).cast("long")}).drop("_a", "_b")
+    else:
+        roots = components(own.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+        node = F.coalesce("_a", "_b", F.xxhash64("_o"))
+        own = own.withColumn("_node", node).join(roots, F.col("_node") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_node")).drop("_a", "_b", "_node", "node", "root")
+        sizes = own.groupBy(F.col("_root").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+        own = settle(own.join(sizes, F.col("_root") == F.col("_of")).drop("_of"))
     few, many = own.where(F.col("_n") <= at_once).drop("_n"), own.where(F.col("_n") > at_once).drop("_n", "_root")
     few = few.withColumn("_k", F.row_number().over(Window.partitionBy("_root").orderBy("_o")))
 
@@ -185,3 +189,10 @@ def exact_groups(df: DataFrame, text: str, key: str) -> DataFrame:
 def report(pairs: DataFrame) -> DataFrame:
     """Lines of the duplicate report, a row a pair."""
     return pairs.select(F.concat_ws(" | ", F.col("kind"), F.col("removed").cast("string"), F.col("kept").cast("string"), F.col("reason")).alias("line"))
+
+
+def totals(pairs: DataFrame) -> DataFrame:
+    """Pairs, those of each kind, those that removed a file, files removed, and pairs of one recordist."""
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    gone = F.count_distinct(F.when(F.col("taken"), F.col("removed")))
+    return pairs.agg(F.count(F.lit(1)).alias("pairs"), n(F.col("kind") == "perfect").alias("perfect"), n(F.col("kind") == "near").alias("near"), n(F.col("taken")).alias("resolved"), gone.alias("files_removed"), n(F.col("same_recordist")).alias("same_recordist"))

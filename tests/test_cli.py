@@ -1,9 +1,11 @@
 """The command line, and small helpers that only it and callers use."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from mediasieve.__main__ import main
+from mediasieve.functions import dsp, flac
 from mediasieve.functions import text as X
 from mediasieve.operators import neardup, quota
 from mediasieve.plans import pipeline
@@ -36,6 +38,28 @@ def test_commands(spark, tmp_path, capsys):
     assert {r["new_filename"] for r in spark.read.parquet(f"{tmp_path}/log").collect()} == {"xc1_B_3000.wav", "xc2_C_700.wav"}
 
 
+def test_audio_commands(spark, tmp_path, capsys):
+    """Two recordings with the same sound under two recordists, one other, one too short, one that is no audio."""
+    rng, folder = np.random.default_rng(3), tmp_path / "audio"
+    folder.mkdir()
+    same = rng.normal(size=60_000) * np.linspace(0.01, 0.2, 60_000)
+    tone = 0.3 * np.sin(np.arange(60_000) / 3)
+    for name, content in {"xc7_A.flac": flac.write(same), "xc9_B.wav": dsp.write_wav(same), "xc12_A.flac": flac.write(tone), "xc3_A.flac": flac.write(tone[:9000]), "xc4_A.flac": b"fLaC"}.items():
+        (folder / name).write_bytes(content)
+    meta = csv(tmp_path, "m.csv", "id,rec\n7,Ann\n9,Bo\n12,Ann\n")
+    main(["dedup", str(folder), "--meta", meta, "--output", f"{tmp_path}/pairs"])
+    assert [(r["i"], r["j"], r["kind"], r["removed"], r["taken"]) for r in spark.read.parquet(f"{tmp_path}/pairs").collect()] == [(7, 9, "perfect", 9, True)]
+    main(["dedup", str(folder), "--meta", meta])
+    assert "older XC7 kept, newer XC9 removed" in capsys.readouterr().out
+    main(["extract", str(folder), "--flac", "--output", f"{tmp_path}/clips"])
+    got = {r["name"]: r for r in spark.read.parquet(f"{tmp_path}/clips").collect()}
+    assert {k: r["reason"] for k, r in got.items() if r["reason"]} == {"xc3_A.flac": "too_short", "xc4_A.flac": "decode: ValueError"}
+    assert got["xc7_A.flac"]["clip_filename"] == f"xc7_A_{got['xc7_A.flac']['onset_ms']}.wav" and flac.duration(got["xc7_A.flac"]["content"]) == 3.0
+    rows = csv(tmp_path, "rows.csv", "id,en,file,length,q\n1,Owl,,1:00,A\n2,Jay,file:///none,0:01,B\n3,Jay,file:///none,0:10,B\n4,Jay,file:///none,0:10,B\n")
+    main(["download", rows, "--limit", "2", "--output", f"{tmp_path}/got"])
+    assert spark.read.parquet(f"{tmp_path}/got").count() == 0
+
+
 def test_helpers(spark):
     got = spark.createDataFrame([(0.0,), (50.0,), (100.0,), (200.0,)], "s double").select(X.cosine_decay("s", 100, 1.0)).collect()
     assert [round(r[0], 6) for r in got] == [1, 0.5, 0, 0]
