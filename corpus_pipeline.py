@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediasieve.llm import decontaminate, mix_sources, near_copies, quality, shard
+from mediasieve.llm import decontaminate, mix_sources, near_copies, quality, shard, simhash_dedup
 from mediasieve.llm.common import settle, table
 
 
@@ -14,8 +14,8 @@ def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near duplicates: by SimHash, segments, the grid join and the check by bits; and by five-word shingles at similarity 0.8, most of which differ in more bits than that join allows."""
+    return near_copies.keep_one(docs, found=simhash_dedup.simhash_components(docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

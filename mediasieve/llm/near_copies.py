@@ -1,4 +1,4 @@
-"""Near copies for the pipeline's SimHash stage: five-word shingles, similarity 0.8 or more.
+"""Near copies that the pipeline's SimHash stage adds to the links of simhash_dedup: five-word shingles, similarity 0.8 or more.
 
 Pairs at that similarity differ in up to 20 of a SimHash's 64 bits, and a radius that wide leaves the grid join of
 simhash_dedup nothing to prune: it would compare nearly all pairs. So fingerprints are compared within bands of minimum
@@ -206,10 +206,26 @@ def met_in_buckets(live: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with one document of each component of near copies: that with the smallest id, then the smallest text hash, then one of its repeats; null ids come last. Texts without words are copies of one another."""
+def joined(roots: DataFrame, own: DataFrame, found: DataFrame) -> DataFrame:
+    """roots (node, root) of the sets of own after the components of found (text_hash, root) join theirs: root is the smallest set reachable by links of either kind."""
+    sets = own.select("text_hash", "s").distinct().join(roots, F.col("s") == F.col("node"), "left").select("text_hash", "s", F.coalesce("root", "s").alias("near"))
+    sets = settle(sets)
+    both = settle(sets.join(found.select("text_hash", F.col("root").alias("print")).distinct(), "text_hash").select("print", "near").distinct())
+    least = both.groupBy("print").agg(F.min("near").alias("a"), F.max("near").alias("_x")).where("a <> _x").select("print", "a")
+    more = components(both.join(least, "print").where("near <> a").select("a", F.col("near").alias("b")))
+    named = sets.select(F.col("s").alias("_s"), "near").distinct().join(more, F.col("near") == F.col("node"), "left")
+    return settle(named.select(F.col("_s").alias("node"), F.coalesce("root", "near").alias("root")))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", found: DataFrame | None = None) -> DataFrame:
+    """df with one document of each component of near copies: that with the smallest id, then the smallest text hash, then one of its repeats; null ids come last. Texts without words are copies of one another.
+
+    found: simhash_components of df, whose links then count as well.
+    """
     own = settle(signatures(df, id_col, text_col))
     roots = links(df, own, id_col, text_col)
+    if found is not None:
+        roots = joined(roots, own, found)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     sets = own.groupBy("s").agg(first.alias("x"))
     named = sets.join(roots, sets.s == roots.node, "left").select(F.coalesce("root", "s").alias("root"), "x")

@@ -41,6 +41,25 @@ def test_pipeline_drops_copies_beyond_four_bits(spark):
     assert [r["doc_id"] for r in corpus_pipeline.deduplicate(spark, docs, "").collect()] == [0]
 
 
+def test_pipeline_joins_simhash_links(spark):
+    """Texts that SimHash links though their shingles as sets differ; one is alike to a text that only shingles link."""
+    import corpus_pipeline
+
+    from mediasieve.llm.simhash_dedup import fingerprint
+
+    rng = random.Random(3)
+    common = [f"w{rng.randrange(10**6)}" for _ in range(40)] * 20
+    texts = [[*common, *[f"v{rng.randrange(10**6)}" for _ in range(30)]] for _ in range(4)]
+    bits = [fingerprint(" ".join(w).encode()) for w in texts]
+    assert all((bits[0] ^ x).bit_count() <= 4 for x in bits)
+    far = [f"u{rng.randrange(10**6)}" for _ in range(30)]
+    rows = [(i + 5, " ".join(w)) for i, w in enumerate(texts)] + [(3, " ".join([*texts[2], "more", "words"])), (1, " ".join(far)), (9, None), (2, " ")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], DOCS).repartition(3)
+    got = corpus_pipeline.deduplicate(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 2, 3]
+    assert corpus_pipeline.deduplicate(spark, docs.limit(0), "").count() == 0
+
+
 def test_buckets_in_blocks(spark, monkeypatch):
     """A chain of copies that no star connects, and unlike texts with one passage, whole or dealt out in blocks, by brute force."""
     rng = random.Random(8)
