@@ -1,10 +1,11 @@
 """Brown's class-based bigram model, its classes found by exchange.
 
-All training text is counted, and every word that occurs in it gets a class by likelihood. Exchange moves the most
-frequent words (WORDS of them) one at a time to the class that makes the bigrams of classes likeliest. Given these
-classes, each other of the HEAD most frequent words goes, by the same gain from its own counts of neighbours' classes, to
-its best class; then, with these classed, every other word does. These steps run in tasks, a row a word and neighbour's
-class: what is gathered grows with the vocabulary, and no task holds more than a few words' rows.
+All training text is counted, and every word that occurs in it gets a class by likelihood. To begin with, exchange moves
+the most frequent words (WORDS of them) by the bigrams among them; given these classes, each other of the HEAD most
+frequent words goes to its best class, then every other word does. Then sweeps move every word of the vocabulary once
+each, by all its bigrams, whatever the neighbour: the first WORDS one after another, all others in tasks, each leaving its
+class first. A sweep that makes the class bigrams of the text less likely is not taken. A word's neighbours outside the
+head tell it their classes; what is gathered grows with the vocabulary, and no task holds more than a few words' rows.
 A word's probability is that of its class after the class before it, times its own share of the class, with discounts
 that leave a share to words never seen, whose class is that of most rare words with their ending.
 """
@@ -13,7 +14,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from itertools import repeat
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,15 @@ from .labelled import remainder
 WORDS, ENDINGS, TAIL, CLASSES, ROUNDS, HEAD = 2048, 512, 3, 128, 6, 131_072
 #: The end token (no word is empty); its number is 0.
 END = b""
+#: Sweeps over the whole vocabulary, at most.
+SWEEPS = 1
 _FLUSH = 150_000
 #: Tokens that a task counts at once; rows whose gains it holds at once; counts with a table of gains.
 _TOKENS, _ROWS, _SMALL = 1 << 18, 1 << 14, 15
 #: Numbers of words outside the head, for contexts: this bit and 50 bits of a hash. Two words that share one share a class.
 _RARE = 1 << 50
+#: Words of the head whose counts meet in an array.
+_PART = 1024
 
 
 def tokens(data: bytes | None) -> list[bytes]:
@@ -147,13 +153,18 @@ def _classes(label: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return np.where(numbers < len(label), label[np.minimum(numbers, len(label) - 1)], -1)
 
 
-def _counted(keys: np.ndarray) -> pa.RecordBatch:
+def _dealt(keys: np.ndarray, core: int, span: int) -> pa.RecordBatch:
+    """(part, steps, n): counts of keys, those below core in part -1, a part for each span of the others; a row holds its keys' differences."""
     keys, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
+    parts = np.where(keys < core, -1, keys // span)
+    starts = _starts(parts) if len(keys) else np.zeros(0, np.int64)
+    steps, ends = np.diff(keys, prepend=0), np.append(starts, len(keys))
+    steps[starts] = keys[starts] - np.maximum(parts[starts], 0) * span
+    return pa.RecordBatch.from_arrays([pa.array(parts[starts].astype(np.int32)), _packed(steps.astype(np.int32), ends), _packed(n.astype(np.int32), ends)], ["part", "steps", "n"])
 
 
 def unit_bigrams(seqs: DataFrame) -> np.ndarray:
-    """Counts of pairs of the first WORDS words; at most WORDS^2 sums come to the driver."""
+    """Counts of pairs of the first WORDS words, from which exchange starts; at most WORDS^2 sums come to the driver. All other pairs count in the sweeps."""
 
     def run(batches):
         sums = np.zeros(WORDS * WORDS, np.int32)
@@ -174,23 +185,6 @@ def unit_bigrams(seqs: DataFrame) -> np.ndarray:
     return out.reshape(WORDS, WORDS)
 
 
-def _contexts(seqs: DataFrame, label: np.ndarray, wanted: tuple[int, int]) -> DataFrame:
-    """(key, n): how often each word with a number in wanted stands before a class (key: number * 2 * CLASSES + class) and after one (... + CLASSES + class); neighbours without a class are left out."""
-    low, high, slots = *wanted, 2 * CLASSES
-    sent = seqs.sparkSession.sparkContext.broadcast(label)  # HEAD numbers at most
-
-    def run(batches):
-        label = sent.value
-        for b in batches:
-            u, v = _neighbours(b)
-            ku, kv = _classes(label, u), _classes(label, v)
-            ahead = (u >= low) & (u < high) & (kv >= 0)
-            behind = (v >= low) & (v < high) & (ku >= 0)
-            yield _counted(np.concatenate([u[ahead] * slots + kv[ahead], v[behind] * slots + CLASSES + ku[behind]]))
-
-    return seqs.select("ids", "rare").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
 def _class_pairs(seqs: DataFrame, label: np.ndarray) -> np.ndarray:
     """Counts of pairs of classes of words in the head."""
     sent = seqs.sparkSession.sparkContext.broadcast(label)
@@ -216,12 +210,26 @@ def _grid(pairs: DataFrame) -> np.ndarray:
     return out.reshape(CLASSES, CLASSES)
 
 
-def best_class(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, grid: np.ndarray) -> np.ndarray:
-    """The class where each word gains most likelihood of class bigrams, added to grid by itself. Rows (slot, n) from starts[i] on are word i's."""
+def _tables(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of grid by slot and class of the word, and what up to _SMALL bigrams more add to each."""
+    cells = np.concatenate([grid.T, grid])
+    known = _f(cells)
+    return cells, np.stack([_f(cells + k) - known for k in range(_SMALL + 1)]).astype(np.float32)
+
+
+def _lost(sums: np.ndarray, extra: np.ndarray) -> np.ndarray:
+    """What the sums of rows or columns take from the gain of words that add extra to them, by class."""
+    few = _f(sums + np.arange(_SMALL + 1.0)[:, None]) - _f(sums)
+    got = few[np.minimum(extra, _SMALL).astype(np.int64)]
+    many = extra > _SMALL
+    got[many] = _f(sums + extra[many][:, None]) - _f(sums)
+    return got
+
+
+def best_class(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, grid: np.ndarray, tables: tuple | None = None) -> np.ndarray:
+    """The class where each word gains most likelihood of class bigrams, added to grid by itself. Rows (slot, n) from starts[i] on are word i's; tables: _tables(grid)."""
     classes = len(grid)
-    cells = np.concatenate([grid.T, grid])  # (slot, class of the word)
-    known, steps = _f(cells), np.arange(_SMALL + 1.0)
-    small = np.stack([_f(cells + k) - known for k in steps]).astype(np.float32)
+    cells, small = tables or _tables(grid)
     ends = np.append(starts[1:], len(slot))
     out = np.empty(len(starts), np.int64)
     rows, cols, corner = grid.sum(1), grid.sum(0), np.diag(grid)
@@ -230,14 +238,6 @@ def best_class(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, grid: np.nda
     a = np.bincount(word, weights=n * ahead, minlength=len(starts))
     b = np.bincount(word, weights=n * ~ahead, minlength=len(starts))
 
-    def lost(sums: np.ndarray, extra: np.ndarray) -> np.ndarray:
-        """What the sums of rows or columns take from the gain of words that add extra to them, by class."""
-        few = _f(sums + steps[:, None]) - _f(sums)
-        got = few[np.minimum(extra, _SMALL).astype(np.int64)]
-        many = extra > _SMALL
-        got[many] = _f(sums + extra[many][:, None]) - _f(sums)
-        return got
-
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + _ROWS)))
@@ -248,7 +248,7 @@ def best_class(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, grid: np.nda
         large = cells[slot[x:y][~few]]
         each[~few] = _f(large + n[x:y][~few][:, None]) - _f(large)
         gain = np.add.reduceat(each, starts[i:j] - x, axis=0, dtype=np.float64)
-        gain -= lost(rows, a[i:j]) + lost(cols, b[i:j])
+        gain -= _lost(rows, a[i:j]) + _lost(cols, b[i:j])
         # Where a class holds neighbours before the word, its row's sum grows by them too; likewise behind it.
         w, k, m, to = word[x:y] - i, slot[x:y] % classes, n[x:y], ahead[x:y]
         for side, sums, extra in ((~to, rows, a[i:j]), (to, cols, b[i:j])):
@@ -265,58 +265,298 @@ def best_class(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, grid: np.nda
     return out
 
 
-def _assigned(contexts: DataFrame, grid: np.ndarray) -> DataFrame:
-    """(u, k, n): the best class of each word of contexts (n 0); and rows of u -1 that count, by task, the pairs of classes its words add (k: class * CLASSES + class)."""
-    slots = 2 * CLASSES
-    sent = contexts.sparkSession.sparkContext.broadcast(grid)
+def best_move(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, was: np.ndarray, grid: np.ndarray, tables: tuple | None = None) -> np.ndarray:
+    """The class where each word gains most if it alone leaves its class (was), in which grid counts it; a word that gains nothing stays. Slots are as in best_class, each at most once a word; slot 2 * classes is the word itself behind itself."""
+    classes = len(grid)
+    cells, small = tables or _tables(grid)
+    ends, out = np.append(starts[1:], len(slot)), np.array(was)
+    rows, cols, corner = grid.sum(1), grid.sum(0), np.diag(grid)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _ROWS // 2)))
+        x, y, own, each_word = starts[i], ends[j - 1], was[i:j], np.arange(j - i)
+        w, s, m = np.repeat(each_word, ends[i:j] - starts[i:j]), slot[x:y], n[x:y].astype(np.float64)
+        itself = s == 2 * classes
+        loops = np.bincount(w[itself], weights=m[itself], minlength=j - i)
+        w, s, m = w[~itself], s[~itself], m[~itself]
+        ahead = s < classes
+        after, before = np.zeros((j - i, classes)), np.zeros((j - i, classes))
+        after[w[ahead], s[ahead]] = m[ahead]
+        before[w[~ahead], s[~ahead] - classes] = m[~ahead]
+        each = np.empty((len(s), classes), np.float32)
+        few = m <= _SMALL
+        each[few] = small[m[few].astype(np.int64), s[few]]
+        large = cells[s[~few]]
+        each[~few] = _f(large + m[~few][:, None]) - _f(large)
+        # In its own class it gains what leaving takes; the cells of its own class as a neighbour are less by its other side.
+        here = own[w]
+        c = cells[s, here]
+        each[np.arange(len(s)), here] = _f(c) - _f(c - m)
+        for of, beside in ((ahead, before), (~ahead, after)):
+            at = np.flatnonzero(of & (s % classes == here))
+            c = cells[s[at]] - beside[w[at]]
+            each[at] = _f(c + m[at][:, None]) - _f(c)
+            each[at, here[at]] = 0
+        gain, first = np.zeros((j - i, classes)), np.searchsorted(w, each_word)
+        some = np.flatnonzero(np.bincount(w, minlength=j - i))
+        if len(some):
+            gain[some] = np.add.reduceat(each, first[some], axis=0, dtype=np.float64)
+        both = ((after > 0) & (before > 0)) | (loops > 0)[:, None]
+        both[each_word, own] = False
+        at, k = np.nonzero(both)
+        c, d, e = corner[k], after[at, k], before[at, k]
+        gain[at, k] += _f(c + d + e + loops[at]) - _f(c + d) - _f(c + e) + _f(c)
+        c = corner[own]
+        gain[each_word, own] += _f(c) - _f(c - after[each_word, own] - before[each_word, own] - loops)
+        for sums, extra in ((rows, after.sum(1) + loops), (cols, before.sum(1) + loops)):
+            cost, c = _lost(sums, extra), sums[own]
+            cost[each_word, own] = _f(c) - _f(c - extra)
+            gain -= cost
+        to = gain.argmax(1)
+        out[i:j] = np.where(gain[each_word, to] > gain[each_word, own] + 1e-4, to, own)
+        i = j
+    return out
 
-    def run(batches):
-        grid = sent.value
-        sums, held = np.zeros(slots * CLASSES, np.int64), None
-        batches = iter(batches)
-        done = False
-        while not done:
-            b = next(batches, None)
-            done = b is None
-            if not done:
-                new = [b.column(k).to_numpy() for k in range(2)]
-                held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-            if held is None or not len(held[0]):
-                continue
-            key, n = held
-            u = key // slots
-            starts = np.concatenate(([0], np.flatnonzero(u[1:] != u[:-1]) + 1))
-            stop = len(key) if done else starts[-1]  # the last word may go on
-            held = [key[stop:], n[stop:]]
-            starts = starts[starts < stop]
-            if not len(starts):
+
+def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows in the order of the first column, many rows at a time; those with one value of it come together."""
+    held, size = [], 0
+    for b in chain(batches, [None]):
+        if b is not None:
+            held.append([c.to_numpy() for c in b.columns])
+            size += b.num_rows
+            if size < _ROWS * 2:
                 continue
-            key, n, u = key[:stop], n[:stop], u[starts]
-            k = best_class(starts, key % slots, n, grid)
-            sums += np.bincount(key % slots * CLASSES + np.repeat(k, np.diff(np.append(starts, stop))), weights=n, minlength=slots * CLASSES).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(k), pa.array(np.zeros(len(u), np.int64))], ["u", "k", "n"])
-        sums = sums.reshape(2, CLASSES, CLASSES)
-        pairs = (sums[0].T + sums[1]).ravel()
-        at = np.flatnonzero(pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), -1)), pa.array(at), pa.array(pairs[at])], ["u", "k", "n"])
+        if not held:
+            return
+        columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+        u = columns[0]
+        cut = len(u) if b is None else int(np.searchsorted(u, u[-1]))  # the last word may go on
+        held, size = [[c[cut:] for c in columns]], len(u) - cut
+        if cut:
+            yield [c[:cut] for c in columns]
+
+
+def _starts(u: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.flatnonzero(u[1:] != u[:-1]) + 1))
+
+
+def _rare_words(seqs: DataFrame, label: np.ndarray, grid: np.ndarray) -> DataFrame:
+    """(u, k, ids, mates): each word outside the head with its best class by its neighbours in the head, any if it has none; and its neighbours, once for each time: the head's (2 * number, 1 more if it stands before the word) and others."""
+    sent = seqs.sparkSession.sparkContext.broadcast((label, grid))
+
+    def meet(batches):
+        for b in batches:
+            u, v = _neighbours(b)
+            ahead, behind = u >= _RARE, v >= _RARE
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ((u[ahead], v[behind]), (v[ahead] * 2, u[behind] * 2 + 1))], ["u", "m"])
+
+    def run(batches):
+        label, grid = sent.value
+        tables = _tables(grid)
+        for u, m in _by_word(batches):
+            starts = _starts(u)
+            word, u = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(u)))), u[starts]
+            near = m < _RARE
+            key, n = np.unique(word[near] * (2 * CLASSES) + label[m[near] >> 1] + CLASSES * (m[near] & 1), return_counts=True)
+            k = u % CLASSES
+            if len(key):
+                first = _starts(key // (2 * CLASSES))
+                k[key[first] // (2 * CLASSES)] = best_class(first, key % (2 * CLASSES), n, grid, tables)
+            ends = lambda of: np.concatenate(([0], np.cumsum(np.bincount(word[of], minlength=len(u)))))  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(k), _packed(m[near].astype(np.int32), ends(near)), _packed(m[~near], ends(~near))], ["u", "k", "ids", "mates"])
+
+    dealt = seqs.select("ids", "rare").mapInArrow(meet, "u long, m long").repartition("u").sortWithinPartitions("u")
+    return settle(dealt.mapInArrow(run, "u long, k long, ids binary, mates binary"))
+
+
+def _met(words: DataFrame) -> DataFrame:
+    """words with near: slots of their neighbours outside the head, each of which tells its class; only words that have such neighbours move."""
+
+    def tell(batches):
+        for b in batches:
+            m, sizes = _unpacked(b.column(2), np.int64)
+            u, k = (np.repeat(b.column(c).to_numpy(), sizes) for c in range(2))
+            v, slot = m >> 1, k + CLASSES * (1 - (m & 1))
+            slot[u == v] = 2 * CLASSES
+            once = (u != v) | (m & 1 == 0)
+            yield pa.RecordBatch.from_arrays([pa.array(v[once]), pa.array(slot[once].astype(np.int32))], ["v", "slot"])
+
+    linked = words.where(F.octet_length("mates") > 0)
+    heard = linked.select("u", "k", "mates").mapInArrow(tell, "v long, slot int").groupBy("v").agg(F.collect_list("slot").alias("near"))
+    linked = settle(linked.join(heard, F.col("u") == F.col("v")).select("u", "k", "ids", "mates", "near"))
+    return linked.union(words.where(F.octet_length("mates") == 0).withColumn("near", F.array().cast("array<int>")))
 
-    dealt = contexts.withColumn("u", F.expr(f"key div {slots}")).repartition("u").sortWithinPartitions("key")
-    return settle(dealt.select("key", "n").mapInArrow(run, "u long, k long, n long"))
+
+def _slots_of(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of rows (k, ids, near, ...): the place of the word at each of all ids, those ids, its place at each of all near, and those slots."""
+    m, sizes = _unpacked(b.column(1), np.int32)
+    near = b.column(2)
+    place = np.arange(b.num_rows)
+    beside = np.repeat(place, np.diff(near.offsets.to_numpy()))
+    return np.repeat(place, sizes), m, beside, near.flatten().to_numpy().astype(np.int64)
+
+
+def _rare_pairs(met: DataFrame, label: np.ndarray) -> np.ndarray:
+    """Counts of pairs of classes with a word outside the head."""
+    sent = met.sparkSession.sparkContext.broadcast(label)
+
+    def run(batches):
+        label, sums = sent.value, np.zeros(CLASSES * CLASSES, np.int64)
+        for b in batches:
+            k = b.column(0).to_numpy()
+            at, m, beside, slot = _slots_of(b)
+            own, other = k[at], label[m >> 1]
+            keys = np.where(m & 1, other * CLASSES + own, own * CLASSES + other)
+            own = k[beside]
+            slot = np.where(slot == 2 * CLASSES, own, slot)  # itself
+            more = (own * CLASSES + slot)[slot < CLASSES]  # the other word counts what stands before it
+            sums += np.bincount(np.concatenate([keys, more]), minlength=CLASSES * CLASSES)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["key", "n"])
+
+    return _grid(met.select("k", "ids", "near").mapInArrow(run, "key long, n long"))
+
+
+def _rare_moved(met: DataFrame, grid: np.ndarray, label: np.ndarray) -> DataFrame:
+    """The words of met, each in the class of its best move."""
+    sent = met.sparkSession.sparkContext.broadcast((grid, label))
+    slots = 2 * CLASSES + 1
+
+    def run(batches):
+        grid, label = sent.value
+        tables = _tables(grid)
+        for b in batches:
+            at, m, beside, slot = _slots_of(b)
+            key, n = np.unique(np.concatenate([at * slots + label[m >> 1] + CLASSES * (m & 1), beside * slots + slot]), return_counts=True)
+            if len(key):
+                k = best_move(_starts(key // slots), key % slots, n, b.column(0).to_numpy(), grid, tables)
+                yield pa.RecordBatch.from_arrays([b.column(3), pa.array(k), b.column(1), b.column(4)], ["u", "k", "ids", "mates"])
+
+    return settle(met.select("k", "ids", "near", "u", "mates").mapInArrow(run, "u long, k long, ids binary, mates binary"))
+
+
+def likelihood(grid: np.ndarray) -> float:
+    """What of the text's log likelihood depends on the classes, from the counts of class bigrams."""
+    return float(_f(grid).sum() - _f(grid.sum(1)).sum() - _f(grid.sum(0)).sum())
+
+
+def _head_assigned(seqs: DataFrame, met: DataFrame | None, label: np.ndarray, core: int, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the head, its words from core on in their best; and for those before, how often each stands beside each class (slots as in best_move).
+
+    Without met, words from core on have no class (-1) yet and get one by their neighbours that do; else they move, by all neighbours.
+    """
+    slots = 2 * CLASSES + 1
+    first, span, anew = core * slots, _PART * slots, met is None
+    sent = seqs.sparkSession.sparkContext.broadcast((label, grid))
+
+    def among(batches):
+        label = sent.value[0]
+        for b in batches:
+            u, v = _neighbours(b)
+            ku, kv = _classes(label, u), _classes(label, v)
+            ahead, behind = (u < len(label)) & (kv >= 0), (v < len(label)) & (ku >= 0) & (u != v)
+            keys = [u[ahead] * slots + np.where(u == v, 2 * CLASSES, kv)[ahead], v[behind] * slots + CLASSES + ku[behind]]
+            yield _dealt(np.concatenate(keys), first, span)
+
+    def beside(batches):
+        held, size = [], 0
+        for b in chain(batches, [None]):
+            if b is not None:
+                m, sizes = _unpacked(b.column(1), np.int32)
+                held.append((m >> 1).astype(np.int64) * slots + np.repeat(b.column(0).to_numpy(), sizes) + CLASSES * (1 - (m & 1)))
+                size += len(m)
+            if held and (b is None or size >= _TOKENS):
+                yield _dealt(np.concatenate(held), first, span)
+                held, size = [], 0
+
+    def run(batches):
+        label, grid = sent.value
+        tables, now, sums = _tables(grid), None, None
+
+        def given():
+            at = np.flatnonzero(sums)
+            if now < 0:
+                return pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), -1)), pa.array(sums[at])], ["u", "k", "n"])
+            key, n = at + now * span, sums[at]
+            starts = _starts(key // slots)
+            u = key[starts] // slots
+            k = best_class(starts, key % slots, n, grid, tables) if anew else best_move(starts, key % slots, n, label[u], grid, tables)
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(k), pa.array(np.zeros(len(u), np.int64))], ["u", "k", "n"])
+
+        for b in batches:
+            for part, steps, n in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if part != now:
+                    if now is not None:
+                        yield given()
+                    now, sums = part, np.zeros(first if part < 0 else span, np.int64)
+                sums[np.cumsum(np.frombuffer(steps, np.int32))] += np.frombuffer(n, np.int32)
+        if now is not None:
+            yield given()
+
+    schema = "part int, steps binary, n binary"
+    found = seqs.select("ids", "rare").mapInArrow(among, schema)
+    if met is not None:
+        found = found.union(met.select("k", "ids").mapInArrow(beside, schema))
+    got = found.repartition("part").sortWithinPartitions("part").mapInArrow(run, "u long, k long, n long").toArrow()  # HEAD + WORDS * slots rows at most
+    u, k, n = (c.to_numpy() for c in got.columns)
+    out, sums, moved = label.copy(), np.zeros(first), k >= 0
+    out[u[moved]] = k[moved]
+    sums[u[~moved]] = n[~moved]
+    return out, sums.reshape(core, slots)
+
+
+def _head_moved(seqs: DataFrame, met: DataFrame, pairs: np.ndarray, grid: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Classes of the head after each of its words moved once: those of pairs one after another, the others in tasks."""
+    core = len(pairs)
+    out, full = _head_assigned(seqs, met, label, core, grid)
+    at, own = np.arange(core), np.diag(pairs)
+    spot = np.eye(CLASSES)[label[:core]]
+    outside = full[:, : 2 * CLASSES] - np.hstack([pairs @ spot, pairs.T @ spot])
+    outside[at, label[:core]] += own
+    outside[at, CLASSES + label[:core]] += own
+    out[:core] = exchange(pairs, CLASSES, 1, (label[:core], outside, grid))
+    return out
+
+
+def _swept(seqs: DataFrame, pairs: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+    """Classes of the head, those of all other words (u, k), and counts of all class bigrams, after sweeps from the head's first classes on."""
+    best, inner = None, _class_pairs(seqs, label)
+    words = _rare_words(seqs, label, inner)
+    for k in range(SWEEPS + 1):
+        met = _met(words)
+        grid = inner + _rare_pairs(met, label)
+        if best is not None and likelihood(grid) <= likelihood(best[2]):
+            break
+        best = label, words.select("u", "k"), grid
+        if k < SWEEPS:
+            words = _rare_moved(met, grid, label)
+            label = _head_moved(seqs, met, pairs, grid, label)
+            inner = _class_pairs(seqs, label)
+    return best
 
 
 def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """The class of each unit: units, the most frequent first, go one by one to where the likelihood of class bigrams gains most, until none moves."""
+def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS, state: tuple | None = None) -> np.ndarray:
+    """The class of each unit: units, the most frequent first, go one by one to where the likelihood of class bigrams gains most, until none moves.
+
+    state: their classes so far; how often each stands before and after the classes of other words; and counts of class bigrams, those words' included.
+    """
     n = len(pairs)
     weight = pairs.sum(0) + pairs.sum(1)
-    order = np.argsort(-weight, kind="stable")
-    label = np.empty(n, np.int64)
-    label[order] = np.arange(n) % classes
-    spot = np.eye(classes)
-    grid = spot[label].T @ pairs @ spot[label]
+    spot, outside = np.eye(classes), np.zeros((n, 2 * classes))
+    if state is None:
+        order = np.argsort(-weight, kind="stable")
+        label = np.empty(n, np.int64)
+        label[order] = np.arange(n) % classes
+        grid = spot[label].T @ pairs @ spot[label]
+    else:
+        label, outside, grid = (np.array(x) for x in state)
+        weight += outside.sum(1)
+        order = np.argsort(-weight, kind="stable")
     columns = np.ascontiguousarray(pairs.T)
     diagonal = np.arange(classes)
     for _ in range(rounds):
@@ -329,6 +569,7 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
             before = np.bincount(label, weights=columns[u], minlength=classes)
             after[was] -= own
             before[was] -= own
+            after, before = after + outside[u, :classes], before + outside[u, classes:]
             grid[was] -= after
             grid[:, was] -= before
             grid[was, was] -= own
@@ -387,7 +628,7 @@ def top_words(vocabulary: DataFrame, most: int | None = None) -> dict[bytes, int
 def train(texts: DataFrame) -> dict:
     """Model of texts (text; null: empty). vocabulary (word, c, k) is a table; all else is bounded by this module's parameters. Without texts all words are unseen.
 
-    Bigrams of classes are counted over all texts, save where two words outside the head follow one another.
+    Bigrams of classes are counted over all texts and all words.
     """
     vocabulary = settle(counts(texts))
     head = top_words(vocabulary)
@@ -403,13 +644,9 @@ def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> d
     label[:core] = exchange(pairs, CLASSES, ROUNDS)
     if len(names) > core:
         spot = np.eye(CLASSES)[label[:core]]
-        found = _assigned(_contexts(seqs, label, (core, len(names))), spot.T @ pairs @ spot).where("u >= 0").toArrow()  # HEAD rows at most
-        label[found["u"].to_numpy()] = found["k"].to_numpy()
+        label, _ = _head_assigned(seqs, None, label, core, spot.T @ pairs @ spot)
         label[label < 0] = 0
-    grid = _class_pairs(seqs, label)
-    # All other words, by the classes of their neighbours in the head.
-    other = _assigned(_contexts(seqs, label, (_RARE, 1 << 62)), grid)
-    grid = grid + _grid(other.where("u < 0").select(F.col("k").alias("key"), "n"))
+    label, other, grid = _swept(seqs, pairs, label)
     sent = spark.sparkContext.broadcast({w: k for k, w in enumerate(names)})
 
     def numbered(batches):
@@ -419,7 +656,7 @@ def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> d
             first, second = names_of(words)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.where(u >= 0, u, numbers_of(first))), pa.array(first), pa.array(second)], ["word", "c", "u", "h", "h2"])
 
-    known = other.where("u >= 0").select(F.col("u").alias("_u"), F.col("k").alias("_k"))
+    known = other.select(F.col("u").alias("_u"), F.col("k").alias("_k"))
     if names:
         known = known.union(spark.createDataFrame([(k, int(x)) for k, x in enumerate(label)], "_u long, _k long"))
     words = vocabulary.select("word", "c").mapInArrow(numbered, "word binary, c long, u long, h long, h2 int")
@@ -430,7 +667,6 @@ def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> d
     by_ending = {r["e"]: r["k"] for r in kinds.groupBy("e").agg(F.max_by("k", F.struct("n", -F.col("k"))).alias("k")).collect()}  # ENDINGS rows at most
     usual = kinds.groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").first()
     endings = np.array([by_ending.get(e, usual["k"] if usual else 0) for e in range(ENDINGS)], np.int64)
-    # Words none of whose neighbours is in the head go with their ending.
     vocabulary = words.withColumn("k", F.coalesce("k", F.lit(endings)[F.col("e")].cast("int"))).drop("e")
     share = (grid.sum(0) + 1) / (grid.sum() + CLASSES)
     moves = np.log10((grid + CLASSES * share[None, :]) / (grid.sum(1, keepdims=True) + CLASSES))

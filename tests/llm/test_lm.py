@@ -91,3 +91,70 @@ def test_best_class_is_the_likeliest():
             value.append(f(g))
         got = brown_lm.best_class(np.array([0]), slot, n, grid)[0]
         assert value[got] == pytest.approx(max(value))
+
+
+def chained(n=300, seed=4):
+    """Texts in which most words are rare and stand among rare ones: what they follow tells their kind."""
+    rng = random.Random(seed)
+    return [" ".join(f"{'xyz'[(i + k) % 3]}{rng.randrange(60)}" for k in range(15)) + " own own own" for i in range(n)]
+
+
+@pytest.mark.parametrize("words,head", [(4, 10), (12, 30), (200, 1000)])
+def test_no_class_pair_is_left_out(spark, monkeypatch, words, head):
+    """Counts of class bigrams by brute force, whichever words are rare."""
+    texts = [*alternating(150), *chained(50), "", None]
+    m = model_of(spark, monkeypatch, texts, words, head)
+    known, size = {bytes(r["word"]): r["k"] for r in m["vocabulary"].collect()}, brown_lm.CLASSES
+    grid = np.zeros((size, size))
+    for t in texts:
+        k = [known[w] for w in (brown_lm.END, *brown_lm.tokens((t or "").encode()))]
+        np.add.at(grid, (k[:-1], k[1:]), 1)
+    share = (grid.sum(0) + 1) / (grid.sum() + size)
+    assert m["moves"] == pytest.approx(np.log10((grid + size * share) / (grid.sum(1, keepdims=True) + size)))
+
+
+def test_words_move_by_neighbours_outside_the_head(spark, monkeypatch):
+    monkeypatch.setattr(brown_lm, "CLASSES", 4)
+    monkeypatch.setattr(brown_lm, "SWEEPS", 8)
+    m = model_of(spark, monkeypatch, [t.removesuffix(" own own own") for t in chained()], 8, 16)
+    by = collections.defaultdict(collections.Counter)
+    for r in m["vocabulary"].collect():
+        by[bytes(r["word"])[:1]][r["k"]] += r["c"]
+    del by[b""]
+    usual = [c.most_common(1)[0] for c in by.values()]
+    assert len({k for k, _ in usual}) == 3
+    assert all(n >= 0.9 * sum(c.values()) for (_, n), c in zip(usual, by.values(), strict=True))
+
+
+def test_best_move_is_the_likeliest():
+    """Against the likelihood computed anew, of words that the counts hold already."""
+    rng = np.random.default_rng(7)
+    label = rng.integers(0, 4, 30)
+    text = rng.integers(0, 30, 900) * rng.integers(0, 2, 900)
+    pairs = np.zeros((30, 30))
+    np.add.at(pairs, (text[:-1], text[1:]), 1)
+
+    def counted(label):
+        spot = np.eye(4)[label]
+        return spot.T @ pairs @ spot
+
+    rows = []
+    for u in range(30):
+        seen = np.zeros(9)
+        np.add.at(seen, np.append(label, label + 4), np.append(pairs[u], pairs[:, u]))
+        seen[[label[u], 4 + label[u]]] -= pairs[u, u]
+        seen[8] = pairs[u, u]
+        rows += [(u, s, n) for s, n in enumerate(seen.astype(int)) if n]
+    u, slot, n = np.array(rows).T
+    got = brown_lm.best_move(brown_lm._starts(u), slot, n, label[np.unique(u)], counted(label))
+    for u, k in zip(np.unique(u), got, strict=True):
+        value = [brown_lm.likelihood(counted(np.where(np.arange(30) == u, c, label))) for c in range(4)]
+        assert value[k] == pytest.approx(max(value), abs=1e-2)
+    same = lambda label: brown_lm.exchange(pairs[:9, :9], 4, 1, (label[:9], outside(label), counted(label)))
+
+    def outside(label):
+        spot = np.eye(4)[label[9:]]
+        return np.hstack([pairs[:9, 9:] @ spot, pairs[9:, :9].T @ spot])
+
+    moved = np.append(same(label), label[9:])
+    assert brown_lm.likelihood(counted(moved)) > brown_lm.likelihood(counted(label))
