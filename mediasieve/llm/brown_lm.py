@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import repeated, settle
+from .common import discard, settle, sparing
 from .labelled import remainder
 
 #: Words that exchange moves one by one, the end token among them; endings, and bytes of an ending, for unseen words; classes; rounds of exchange; words known to every task by number, at most.
@@ -37,8 +37,8 @@ _FLUSH = 150_000
 _TOKENS, _ROWS, _SMALL = 1 << 18, 1 << 14, 15
 #: Numbers of words outside the head, for contexts: this bit and 50 bits of a hash. Two words that share one share a class.
 _RARE = 1 << 50
-#: Words of the head whose counts meet in an array.
-_PART = 1024
+#: Words of the head whose counts meet in an array, and in a task.
+_PART = 128
 
 
 def tokens(data: bytes | None) -> list[bytes]:
@@ -153,13 +153,12 @@ def _classes(label: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return np.where(numbers < len(label), label[np.minimum(numbers, len(label) - 1)], -1)
 
 
-def _dealt(keys: np.ndarray, core: int, span: int) -> pa.RecordBatch:
-    """(part, steps, n): counts of keys, those below core in part -1, a part for each span of the others; a row holds its keys' differences."""
-    keys, n = np.unique(keys, return_counts=True)
-    parts = np.where(keys < core, -1, keys // span)
+def _dealt(keys: np.ndarray, n: np.ndarray, span: int) -> pa.RecordBatch:
+    """(part, steps, n): counts of keys, which ascend, a part for each span of them; a row holds its keys' differences."""
+    parts = keys // span
     starts = _starts(parts) if len(keys) else np.zeros(0, np.int64)
     steps, ends = np.diff(keys, prepend=0), np.append(starts, len(keys))
-    steps[starts] = keys[starts] - np.maximum(parts[starts], 0) * span
+    steps[starts] = keys[starts] % span
     return pa.RecordBatch.from_arrays([pa.array(parts[starts].astype(np.int32)), _packed(steps.astype(np.int32), ends), _packed(n.astype(np.int32), ends)], ["part", "steps", "n"])
 
 
@@ -370,8 +369,8 @@ def _rare_words(seqs: DataFrame, label: np.ndarray, grid: np.ndarray) -> DataFra
     return settle(dealt.mapInArrow(run, "u long, k long, ids binary, mates binary"))
 
 
-def _met(words: DataFrame) -> DataFrame:
-    """words with near: slots of their neighbours outside the head, each of which tells its class; only words that have such neighbours move."""
+def _met(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """words with near: slots of their neighbours outside the head, each of which tells its class; only words that have such neighbours move. And the table of those, to be discarded."""
 
     def tell(batches):
         for b in batches:
@@ -385,7 +384,7 @@ def _met(words: DataFrame) -> DataFrame:
     linked = words.where(F.octet_length("mates") > 0)
     heard = linked.select("u", "k", "mates").mapInArrow(tell, "v long, slot int").groupBy("v").agg(F.collect_list("slot").alias("near"))
     linked = settle(linked.join(heard, F.col("u") == F.col("v")).select("u", "k", "ids", "mates", "near"))
-    return linked.union(words.where(F.octet_length("mates") == 0).withColumn("near", F.array().cast("array<int>")))
+    return linked.union(words.where(F.octet_length("mates") == 0).withColumn("near", F.array().cast("array<int>"))), linked
 
 
 def _slots_of(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -450,6 +449,16 @@ def _head_assigned(seqs: DataFrame, met: DataFrame | None, label: np.ndarray, co
     first, span, anew = core * slots, _PART * slots, met is None
     sent = seqs.sparkSession.sparkContext.broadcast((label, grid))
 
+    def dealt(many):
+        """Counts of keys, those of the words before core summed up to the task's end."""
+        sums = np.zeros(first, np.int64)
+        for keys in many:
+            low = keys < first
+            sums += np.bincount(keys[low], minlength=first)
+            yield _dealt(*np.unique(keys[~low], return_counts=True), span)
+        at = np.flatnonzero(sums)
+        yield _dealt(at, sums[at], span)
+
     def among(batches):
         label = sent.value[0]
         for b in batches:
@@ -457,7 +466,7 @@ def _head_assigned(seqs: DataFrame, met: DataFrame | None, label: np.ndarray, co
             ku, kv = _classes(label, u), _classes(label, v)
             ahead, behind = (u < len(label)) & (kv >= 0), (v < len(label)) & (ku >= 0) & (u != v)
             keys = [u[ahead] * slots + np.where(u == v, 2 * CLASSES, kv)[ahead], v[behind] * slots + CLASSES + ku[behind]]
-            yield _dealt(np.concatenate(keys), first, span)
+            yield np.concatenate(keys)
 
     def beside(batches):
         held, size = [], 0
@@ -467,7 +476,7 @@ def _head_assigned(seqs: DataFrame, met: DataFrame | None, label: np.ndarray, co
                 held.append((m >> 1).astype(np.int64) * slots + np.repeat(b.column(0).to_numpy(), sizes) + CLASSES * (1 - (m & 1)))
                 size += len(m)
             if held and (b is None or size >= _TOKENS):
-                yield _dealt(np.concatenate(held), first, span)
+                yield np.concatenate(held)
                 held, size = [], 0
 
     def run(batches):
@@ -476,28 +485,30 @@ def _head_assigned(seqs: DataFrame, met: DataFrame | None, label: np.ndarray, co
 
         def given():
             at = np.flatnonzero(sums)
-            if now < 0:
-                return pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), -1)), pa.array(sums[at])], ["u", "k", "n"])
             key, n = at + now * span, sums[at]
-            starts = _starts(key // slots)
-            u = key[starts] // slots
-            k = best_class(starts, key % slots, n, grid, tables) if anew else best_move(starts, key % slots, n, label[u], grid, tables)
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(k), pa.array(np.zeros(len(u), np.int64))], ["u", "k", "n"])
+            low = np.searchsorted(key, first)
+            yield pa.RecordBatch.from_arrays([pa.array(key[:low]), pa.array(np.full(low, -1)), pa.array(n[:low])], ["u", "k", "n"])
+            key, n = key[low:], n[low:]
+            if len(key):
+                starts = _starts(key // slots)
+                u = key[starts] // slots
+                k = best_class(starts, key % slots, n, grid, tables) if anew else best_move(starts, key % slots, n, label[u], grid, tables)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(k), pa.array(np.zeros(len(u), np.int64))], ["u", "k", "n"])
 
         for b in batches:
             for part, steps, n in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if part != now:
                     if now is not None:
-                        yield given()
-                    now, sums = part, np.zeros(first if part < 0 else span, np.int64)
+                        yield from given()
+                    now, sums = part, np.zeros(span, np.int64)
                 sums[np.cumsum(np.frombuffer(steps, np.int32))] += np.frombuffer(n, np.int32)
         if now is not None:
-            yield given()
+            yield from given()
 
     schema = "part int, steps binary, n binary"
-    found = seqs.select("ids", "rare").mapInArrow(among, schema)
+    found = seqs.select("ids", "rare").mapInArrow(lambda batches: dealt(among(batches)), schema)
     if met is not None:
-        found = found.union(met.select("k", "ids").mapInArrow(beside, schema))
+        found = found.union(met.select("k", "ids").mapInArrow(lambda batches: dealt(beside(batches)), schema))
     got = found.repartition("part").sortWithinPartitions("part").mapInArrow(run, "u long, k long, n long").toArrow()  # HEAD + WORDS * slots rows at most
     u, k, n = (c.to_numpy() for c in got.columns)
     out, sums, moved = label.copy(), np.zeros(first), k >= 0
@@ -520,19 +531,23 @@ def _head_moved(seqs: DataFrame, met: DataFrame, pairs: np.ndarray, grid: np.nda
 
 
 def _swept(seqs: DataFrame, pairs: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, DataFrame, np.ndarray]:
-    """Classes of the head, those of all other words (u, k), and counts of all class bigrams, after sweeps from the head's first classes on."""
+    """Classes of the head, the table of those of all other words (u, k among its columns), and counts of all class bigrams, after sweeps from the head's first classes on. Tables of other sweeps go."""
     best, inner = None, _class_pairs(seqs, label)
     words = _rare_words(seqs, label, inner)
     for k in range(SWEEPS + 1):
-        met = _met(words)
+        met, linked = _met(words)
         grid = inner + _rare_pairs(met, label)
         if best is not None and likelihood(grid) <= likelihood(best[2]):
+            discard(words, linked)
             break
-        best = label, words.select("u", "k"), grid
+        if best is not None:
+            discard(best[1])
+        best = label, words, grid
         if k < SWEEPS:
             words = _rare_moved(met, grid, label)
             label = _head_moved(seqs, met, pairs, grid, label)
             inner = _class_pairs(seqs, label)
+        discard(linked)
     return best
 
 
@@ -630,12 +645,17 @@ def train(texts: DataFrame) -> dict:
 
     Bigrams of classes are counted over all texts and all words.
     """
-    vocabulary = settle(counts(texts))
-    head = top_words(vocabulary)
-    return _fitted(vocabulary, head, settle(sequences(texts.select("text"), head)))
+    with sparing(texts.sparkSession):
+        vocabulary = settle(counts(texts))
+        head = top_words(vocabulary)
+        seqs = settle(sequences(texts.select("text"), head))
+        model = _fitted(vocabulary, head, seqs)
+        discard(seqs)
+        return model
 
 
 def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> dict:
+    """The model; discards vocabulary, of which the model has its own table."""
     total, types = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     spark, names = vocabulary.sparkSession, list(head)
     core = min(WORDS, len(names))
@@ -656,12 +676,13 @@ def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> d
             first, second = names_of(words)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.where(u >= 0, u, numbers_of(first))), pa.array(first), pa.array(second)], ["word", "c", "u", "h", "h2"])
 
-    known = other.select(F.col("u").alias("_u"), F.col("k").alias("_k"))
+    counted, known = vocabulary, other.select(F.col("u").alias("_u"), F.col("k").alias("_k"))
     if names:
         known = known.union(spark.createDataFrame([(k, int(x)) for k, x in enumerate(label)], "_u long, _k long"))
     words = vocabulary.select("word", "c").mapInArrow(numbered, "word binary, c long, u long, h long, h2 int")
     words = words.join(known, F.col("u") == F.col("_u"), "left")
     words = settle(words.select("word", "c", "h", "h2", F.col("h2").bitwiseAND(F.lit(ENDINGS - 1)).alias("e"), F.col("_k").cast("int").alias("k")))
+    discard(counted, other)
     # The class of an ending: that of most words seen once or twice with it; of endings not seen, the class of most such words.
     kinds = words.where("k is not null and c <= 2").groupBy("e", "k").agg(F.count(F.lit(1)).alias("n"))
     by_ending = {r["e"]: r["k"] for r in kinds.groupBy("e").agg(F.max_by("k", F.struct("n", -F.col("k"))).alias("k")).collect()}  # ENDINGS rows at most
@@ -692,16 +713,22 @@ def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> d
     }
 
 
+def _numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, row, text): row tells rows apart, once they are settled."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+
+
 def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score): one row for each row of docs; a null text is empty, repeated rows and null ids keep their rows, other columns are ignored, and an empty table gives no rows.
 
     Words of the head are scored where the text is read; the others meet their counts and classes in a join, by 87 bits of
-    hashes, and are summed by document.
+    hashes, and are summed by row.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     head = model["head"] if END in model["head"] else {END: 0} | model["head"]
     head = {END: head[END]} | head
-    return _scored(settle(sequences(own, head)), model | {"head": head})
+    with sparing(docs.sparkSession):
+        seqs = settle(sequences(_numbered(docs, id_col, text_col), head))
+    return _scored(seqs, model | {"head": head})
 
 
 def _scored(seqs: DataFrame, model: dict) -> DataFrame:
@@ -711,7 +738,7 @@ def _scored(seqs: DataFrame, model: dict) -> DataFrame:
     least = float(model["total"] + model["types"] + 1)
     word_score = np.where(c > 0, np.log10(np.maximum(c - model["off"][label], 1e-9) / model["size"][label]), model["unseen"][label])
     sent = spark.sparkContext.broadcast((label, c > 0, word_score, np.log10((c + 1) / least), model["moves"]))  # HEAD numbers at most
-    columns = seqs.select("ids", "rare", "rare2", "doc_id", "text_hash")
+    columns, beside = seqs.select("ids", "rare", "rare2", "doc_id", "row"), CLASSES + 1
 
     def read(b: pa.RecordBatch):
         """Classes of the tokens of a batch and of those before them (-1 outside the head), their numbers, and each token's row."""
@@ -728,55 +755,60 @@ def _scored(seqs: DataFrame, model: dict) -> DataFrame:
             value[both] += moves[before[both], k[both]]
             add = lambda x: np.bincount(row, weights=np.where(ids >= 0, x[np.maximum(ids, 0)], 0), minlength=b.num_rows)  # noqa: B023, E731
             score = np.bincount(row, weights=value, minlength=b.num_rows)
-            arrays = [pa.array(np.ones(b.num_rows, np.int64)), pa.array(sizes.astype(np.int64)), pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(score)]
-            yield pa.RecordBatch.from_arrays([b.column(3), b.column(4), *arrays], ["doc_id", "text_hash", "copies", *sums])
+            arrays = [pa.array(sizes.astype(np.int64)), pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(score)]
+            yield pa.RecordBatch.from_arrays([b.column(4), b.column(3), *arrays], ["row", "doc_id", *sums])
 
-    def rare_run(batches):
+    def rare_run(batches, pairs):
         for b in batches:
             k, before, ids, row, _ = read(b)
             at = np.flatnonzero(ids < 0)  # the last token of a text is the end token: each of these has a next one
             if not len(at):
                 continue
-            h, h2, row = _unpacked(b.column(1), np.int64)[0], _unpacked(b.column(2), np.int32)[0], pa.array(row[at])
+            h, h2, row = _unpacked(b.column(1), np.int64)[0], _unpacked(b.column(2), np.int32)[0].astype(np.int64), b.column(4).to_numpy()[row[at]]
             after = np.append(k, 0)[at + 1]
-            follows = np.flatnonzero(after < 0)  # in `at`: two in a row, whose classes meet once both are known
-            none = lambda x: pa.array(x, mask=x < 0)
-            yield pa.RecordBatch.from_arrays([b.column(3).take(row), b.column(4).take(row), pa.array(h), pa.array(h2), none(before[at].astype(np.int32)), none(after.astype(np.int32)), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int32())], outs)
-            if len(follows):
-                some = row.take(pa.array(follows))
-                yield pa.RecordBatch.from_arrays([b.column(3).take(some), b.column(4).take(some), pa.array(h[follows]), pa.array(h2[follows]), pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.int32()), pa.array(h[follows + 1]), pa.array(h2[follows + 1])], outs)
-
-    sums, outs = ("n_tokens", "n_known", "base", "score"), ["doc_id", "text_hash", "h", "h2", "a", "b", "g", "g2"]
-    near = columns.mapInArrow(near_run, "doc_id long, text_hash long, copies long, n_tokens long, n_known long, base double, score double")
-    rare = columns.mapInArrow(rare_run, "doc_id long, text_hash long, h long, h2 int, a int, b int, g long, g2 int")
-    vocabulary, moves = model["vocabulary"].select("h", "h2", "c", "k"), F.lit(model["moves"].ravel())
+            if pairs:  # two in a row, whose classes meet once both are known
+                follows = np.flatnonzero(after < 0)
+                found = {"row": row[follows], "h": h[follows], "h2": h2[follows], "g": h[follows + 1], "g2": h2[follows + 1]}
+            else:  # classes before and behind, from 1 on, 0 where they are not known here, share a number with the second part of the name
+                found = {"row": row, "h": h, "x": h2 << 32 | (before[at] + 1) * beside + after + 1}
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.values()], list(found))
+
+    sums = ("n_tokens", "n_known", "base", "score")
+    near = columns.mapInArrow(near_run, "row long, doc_id long, n_tokens long, n_known long, base double, score double")
+    single = columns.mapInArrow(lambda batches: rare_run(batches, False), "row long, h long, x long")
+    pairs = columns.mapInArrow(lambda batches: rare_run(batches, True), "row long, h long, h2 long, g long, g2 long")
+    # Count and class in one number, and names under one pair of names: all joins share one exchange of the vocabulary.
+    vocabulary, moves = model["vocabulary"].select(F.col("h").alias("w"), F.col("h2").cast("long").alias("w2"), (F.col("c") * CLASSES + F.col("k")).alias("ck")), F.lit(model["moves"].ravel())
     of = lambda values, at: F.lit(np.asarray(values))[at]
     unseen = lambda second: of(model["label"][WORDS:], second.bitwiseAND(F.lit(ENDINGS - 1))).cast("int")
-    rare = rare.join(vocabulary, ["h", "h2"], "left").withColumn("k", F.coalesce("k", unseen(F.col("h2")))).withColumn("c", F.coalesce("c", F.lit(0).cast("long")))
-    other = vocabulary.select(F.col("h").alias("g"), F.col("h2").alias("g2"), F.col("k").alias("_k"))
-    pairs = rare.where("g is not null").join(other, ["g", "g2"], "left")
-    zero, k = F.lit(0).cast("long"), F.col("k")
-    value = moves[k * CLASSES + F.coalesce("_k", unseen(F.col("g2")))]
-    pairs = pairs.select("doc_id", "text_hash", zero.alias("n_known"), F.lit(0.0).alias("base"), value.alias("score"))
-    none = F.lit(0.0)
-    value = F.coalesce(moves[F.col("a") * CLASSES + k], none) + F.coalesce(moves[k * CLASSES + F.col("b")], none)
+
+    def told(df, first, second, k, c=None):
+        """df with class k, and count c, of the words named first and second."""
+        df = df.join(vocabulary, (F.col(first) == F.col("w")) & (F.col(second) == F.col("w2")), "left")
+        df = df if c is None else df.withColumn(c, F.coalesce(F.expr(f"ck div {CLASSES}"), zero))
+        return df.withColumn(k, F.coalesce(F.pmod("ck", F.lit(CLASSES)).cast("int"), unseen(F.col(second)))).drop("w", "w2", "ck")
+
+    none, zero, k = F.lit(0.0), F.lit(0).cast("long"), F.col("k")
+    pairs = told(told(pairs, "h", "h2", "k"), "g", "g2", "_k")
+    pairs = pairs.select("row", zero.alias("n_known"), none.alias("base"), moves[k * CLASSES + F.col("_k")].alias("score"))
+    ab = F.col("x").bitwiseAND(F.lit(0xFFFFFFFF))
+    single = single.select("row", "h", F.shiftright("x", 32).alias("h2"), F.floor(ab / beside).alias("a"), (ab % beside).alias("b"))
+    single = told(single, "h", "h2", "k", "c")
+    value = F.when(F.col("a") > 0, moves[(F.col("a") - 1) * CLASSES + k]).otherwise(none) + F.when(F.col("b") > 0, moves[k * CLASSES + F.col("b") - 1]).otherwise(none)
     value = value + F.when(F.col("c") > 0, F.log10((F.col("c") - of(model["off"], k)) / of(model["size"], k))).otherwise(of(model["unseen"], k))
-    single = rare.where("g is null").select("doc_id", "text_hash", (F.col("c") > 0).cast("long").alias("n_known"), F.log10((F.col("c") + 1) / F.lit(least)).alias("base"), value.alias("score"))
-    added = single.union(pairs).select("doc_id", "text_hash", zero.alias("copies"), zero.alias("n_tokens"), "n_known", "base", "score")
-    both = near.union(added).groupBy("doc_id", "text_hash").agg(*[F.sum(x).alias(x) for x in ("copies", *sums)])
-    # Rows that repeat were summed together: each has an equal share.
-    out = repeated(both.withColumn("_times", F.col("copies")), "_times")
-    whole = lambda x: (F.col(x) / F.col("copies")).cast("long").alias(x)
-    return out.select("doc_id", whole("n_tokens"), whole("n_known"), (F.col("base") / F.col("copies")).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"))
+    single = single.select("row", (F.col("c") > 0).cast("long").alias("n_known"), F.log10((F.col("c") + 1) / F.lit(least)).alias("base"), value.alias("score"))
+    added = single.union(pairs).select("row", F.lit(None).cast("long").alias("doc_id"), zero.alias("n_tokens"), "n_known", "base", "score")
+    out = near.union(added).groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(x).alias(x) for x in sums])
+    return out.select("doc_id", "n_tokens", "n_known", F.col("base").alias("base_score"), "score")
 
 
 def result(docs: DataFrame) -> DataFrame:
     """The contract's columns: ids whose crc32 modulo 7 is 2 are held out; a null id is not. Texts are tokenised for the counts, and once more into numbers for training and scoring."""
     held = remainder("doc_id", 7) == 2
-    vocabulary = settle(counts(docs.where(~held).select("text")))
-    head = top_words(vocabulary)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), held.alias("held"), F.col("text").alias("text"))
-    seqs = settle(sequences(own, head))
-    model = _fitted(vocabulary, head, seqs.where("not held"))
+    with sparing(docs.sparkSession):
+        vocabulary = settle(counts(docs.where(~held).select("text")))
+        head = top_words(vocabulary)
+        seqs = settle(sequences(_numbered(docs).withColumn("held", held), head))
+        model = _fitted(vocabulary, head, seqs.where("not held"))
     out = _scored(seqs, model)
     return out.select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model["total"]).cast("long").alias("train_tokens"), "base_score", "score")

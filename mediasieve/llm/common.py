@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import components, labels_of
-from ..storage import ranked, settle, shared_dir
+from ..storage import discard, ranked, settle, shared_dir, sparing
 
-__all__ = ["ascii_lower", "components", "few", "fresh", "labels_of", "ranked", "repeated", "settle", "shared_dir", "table", "unsigned_hex", "with_keys", "without", "word_count"]
+__all__ = ["ascii_lower", "components", "discard", "few", "fresh", "labels_of", "ranked", "repeated", "settle", "shared_dir", "sparing", "table", "unsigned_hex", "with_keys", "without", "word_count"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

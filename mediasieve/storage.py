@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,37 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables as settle gave them, once no result reads them any more."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            if not folder.rpartition("/")[2].startswith("mediasieve-"):
+                raise ValueError(f"{folder} was not written by settle")
+            path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Tables are packed tighter; shuffles go when the action that made them ends, not when the driver next collects garbage.
+_SPARING = {"spark.sql.parquet.compression.codec": "zstd", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def sparing(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile leaves less on disk. Lazy results that may run more than once belong outside: their shuffles would be made anew each time."""
+    before = {k: spark.conf.get(k, None) for k in _SPARING}
+    for k, v in _SPARING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def ranked(df: DataFrame, *order: Column | str, name: str = "rank", start: int = 1) -> DataFrame:
     """df with its rank in a total order, without a task that gets all rows.
 

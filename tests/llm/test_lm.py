@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from mediasieve import storage
 from mediasieve.llm import brown_lm
 
 
@@ -158,3 +159,42 @@ def test_best_move_is_the_likeliest():
 
     moved = np.append(same(label), label[9:])
     assert brown_lm.likelihood(counted(moved)) > brown_lm.likelihood(counted(label))
+
+
+def test_what_is_used_up_leaves_the_disk(spark, tmp_path, monkeypatch):
+    """Of the tables written only those that the result reads stay, it stays readable, and its joins share one exchange of the vocabulary; settings are as before."""
+    texts = [*alternating(150), *chained(50), "", None, None]
+    docs = spark.createDataFrame([(k % 190, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    names = ("spark.sql.parquet.compression.codec", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(k, None) for k in names]
+    monkeypatch.setattr(storage, "shared_dir", lambda spark: f"file://{tmp_path}/a b")
+    monkeypatch.setattr(brown_lm, "WORDS", 8)
+    monkeypatch.setattr(brown_lm, "HEAD", 16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = brown_lm.result(docs)
+        read = {f.rpartition("/")[0].rpartition("/")[2] for f in out.inputFiles()}
+        assert len(read) == 2 and {p.name for p in (tmp_path / "a b").iterdir()} == read
+        first = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+        assert len(first) == len(texts) and plan.count("ReusedExchange") == 2
+        rounded = lambda rows: sorted(repr([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
+        assert rounded(out.collect()) == rounded(first)
+        assert [spark.conf.get(k, None) for k in names] == before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_counts_of_frequent_words_are_spread(spark, monkeypatch):
+    """Classes don't depend on how many words' counts meet in a task, those of the first words included."""
+    found = []
+    for part in (2, 128):
+        monkeypatch.setattr(brown_lm, "_PART", part)
+        m = model_of(spark, monkeypatch, [*alternating(150), *chained(50), "", None], 5, 30)
+        found.append((m["classes"], {bytes(r["word"]): r["k"] for r in m["vocabulary"].collect()}))
+    assert found[0] == found[1]
+    keys, n = np.array([1, 3, 8, 11, 12, 30]), np.array([5, 1, 2, 9, 4, 7])
+    got = []
+    for part, steps, c in zip(*[x.to_pylist() for x in brown_lm._dealt(keys, n, 4).columns], strict=True):
+        got += zip((part * 4 + np.cumsum(np.frombuffer(steps, np.int32))).tolist(), np.frombuffer(c, np.int32).tolist(), strict=True)
+    assert got == list(zip(keys.tolist(), n.tolist(), strict=True))
