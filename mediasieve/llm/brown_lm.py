@@ -13,12 +13,12 @@ that leave a share to words never seen, whose class is that of most rare words w
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +32,8 @@ WORDS, ENDINGS, TAIL, CLASSES, ROUNDS, HEAD = 2048, 512, 3, 128, 6, 131_072
 END = b""
 #: Sweeps over the whole vocabulary, at most.
 SWEEPS = 1
-_FLUSH = 150_000
-#: Tokens that a task counts at once; rows whose gains it holds at once; counts with a table of gains.
-_TOKENS, _ROWS, _SMALL = 1 << 18, 1 << 14, 15
+#: Tokens, and bytes of text, that a task counts at once; rows that it takes, and whose gains it holds, at once; counts with a table of gains.
+_TOKENS, _BYTES, _ROWS, _GAINS, _SMALL = 1 << 18, 1 << 22, 1 << 15, 1 << 12, 15
 #: Numbers of words outside the head, for contexts: this bit and 50 bits of a hash. Two words that share one share a class.
 _RARE = 1 << 50
 #: Words of the head whose counts meet in an array, and in a task.
@@ -45,24 +44,26 @@ def tokens(data: bytes | None) -> list[bytes]:
     return [*(data or b"").lower().split(), END]
 
 
+def _split(texts: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The tokens of all texts in a row, without end tokens, and how many each text has (the same as tokens gives)."""
+    lowered = pc.ascii_lower(pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), -1, texts.offset))  # the bytes need not be UTF-8
+    found = pc.ascii_split_whitespace(lowered)
+    words, ends = found.flatten(), found.offsets.to_numpy().astype(np.int64)
+    words = pa.Array.from_buffers(pa.binary(), len(words), words.buffers(), -1, words.offset)
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate(([0], np.cumsum(some.to_numpy(zero_copy_only=False))))
+    return words.filter(some), np.diff(before[ends - ends[0]])
+
+
 def counts(texts: DataFrame) -> DataFrame:
     """(word string, c long) of texts (text), end tokens as the empty word; summed in the tasks first."""
 
     def run(batches):
-        seen: Counter = Counter()
-
-        def given():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-            seen.clear()
-            return out
-
         for b in batches:
-            for t in b.column(0):
-                seen.update(tokens(t.as_py()))
-                if len(seen) >= _FLUSH:
-                    yield given()
-        if seen:
-            yield given()
+            words, _ = _split(b.column(0))
+            seen = words.value_counts()
+            yield pa.RecordBatch.from_arrays([seen.field(0), seen.field(1)], ["word", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([b.num_rows], pa.int64())], ["word", "c"])
 
     return texts.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -100,31 +101,28 @@ def sequences(docs: DataFrame, head: dict[bytes, int]) -> DataFrame:
     def run(batches):
         get = sent.value.get
         for b in batches:
-            first, ids, rare, ends, rare_ends = 0, [], [], [0], [0]
-
-            def given(upto, b=b):
-                arrays = [c.slice(first, upto - first) for c in b.columns[:-1]]
-                found = (np.concatenate(ids) if ids else np.zeros(0, np.int32), *names_of(rare))
-                arrays += [_packed(x, at) for x, at in zip(found, (ends, rare_ends, rare_ends), strict=True)]
-                return pa.RecordBatch.from_arrays(arrays, [*names, "ids", "rare", "rare2"])
-
-            for k, t in enumerate(b.column(len(names))):
-                words = tokens(t.as_py())
-                found = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
-                ids.append(found)
-                rare += [words[at] for at in np.flatnonzero(found < 0).tolist()]
-                ends.append(ends[-1] + len(words))
-                rare_ends.append(len(rare))
-                if ends[-1] >= _TOKENS:
-                    yield given(k + 1)
-                    first, ids, rare, ends, rare_ends = k + 1, [], [], [0], [0]
-            if len(ends) > 1:
-                yield given(b.num_rows)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(len(names))), 0).to_numpy())
+            first = 0
+            while first < b.num_rows:
+                upto = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _BYTES)))
+                some = b.slice(first, upto - first)
+                first = upto
+                words, sizes = _split(some.column(len(names)))
+                words = words.dictionary_encode()
+                each, place = words.dictionary.to_pylist(), words.indices.to_numpy()
+                number = np.fromiter(map(get, each, repeat(-1)), np.int32, len(each))
+                ids, at, other = number[place], np.cumsum(sizes), number < 0
+                rare = place[ids < 0]
+                found = [x[(np.cumsum(other) - 1)[rare]] for x in names_of([each[k] for k in np.flatnonzero(other).tolist()])]
+                rare_ends = np.concatenate(([0], np.cumsum(ids < 0)))[np.concatenate(([0], at))]
+                arrays = [_packed(np.insert(ids, at, get(END)), np.concatenate(([0], at + np.arange(1, len(at) + 1))))]
+                arrays += [_packed(x, rare_ends) for x in found]
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], *arrays], [*names, "ids", "rare", "rare2"])
 
     return own.mapInArrow(run, schema)
 
 
-def _packed(values: np.ndarray, ends: list[int]) -> pa.Array:
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Rows of numbers as binary; row i ends where ends[i + 1] says."""
     at = np.array(ends, np.int64) * values.itemsize
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
@@ -239,7 +237,7 @@ def best_class(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, grid: np.nda
 
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _ROWS)))
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _GAINS)))
         x, y = starts[i], ends[j - 1]
         few = n[x:y] <= _SMALL
         each = np.empty((y - x, classes), np.float32)
@@ -272,7 +270,7 @@ def best_move(starts: np.ndarray, slot: np.ndarray, n: np.ndarray, was: np.ndarr
     rows, cols, corner = grid.sum(1), grid.sum(0), np.diag(grid)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _ROWS // 2)))
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + _GAINS)))
         x, y, own, each_word = starts[i], ends[j - 1], was[i:j], np.arange(j - i)
         w, s, m = np.repeat(each_word, ends[i:j] - starts[i:j]), slot[x:y], n[x:y].astype(np.float64)
         itself = s == 2 * classes
@@ -324,7 +322,7 @@ def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         if b is not None:
             held.append([c.to_numpy() for c in b.columns])
             size += b.num_rows
-            if size < _ROWS * 2:
+            if size < _ROWS:
                 continue
         if not held:
             return
@@ -667,20 +665,18 @@ def _fitted(vocabulary: DataFrame, head: dict[bytes, int], seqs: DataFrame) -> d
         label, _ = _head_assigned(seqs, None, label, core, spot.T @ pairs @ spot)
         label[label < 0] = 0
     label, other, grid = _swept(seqs, pairs, label)
-    sent = spark.sparkContext.broadcast({w: k for k, w in enumerate(names)})
+    sent = spark.sparkContext.broadcast(dict(zip(names, label.tolist(), strict=True)))
 
     def numbered(batches):
         for b in batches:
             words = b.column(0).to_pylist()
-            u = np.fromiter((sent.value.get(w, -1) for w in words), np.int64, len(words))
+            k = np.fromiter(map(sent.value.get, words, repeat(-1)), np.int64, len(words))
             first, second = names_of(words)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.where(u >= 0, u, numbers_of(first))), pa.array(first), pa.array(second)], ["word", "c", "u", "h", "h2"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(numbers_of(first)), pa.array(first), pa.array(second), pa.array(k, mask=k < 0)], ["word", "c", "u", "h", "h2", "_own"])
 
-    counted, known = vocabulary, other.select(F.col("u").alias("_u"), F.col("k").alias("_k"))
-    if names:
-        known = known.union(spark.createDataFrame([(k, int(x)) for k, x in enumerate(label)], "_u long, _k long"))
-    words = vocabulary.select("word", "c").mapInArrow(numbered, "word binary, c long, u long, h long, h2 int")
-    words = words.join(known, F.col("u") == F.col("_u"), "left")
+    counted, known = vocabulary, other.select(F.col("u").alias("_u"), F.col("k").alias("_other"))
+    words = vocabulary.select("word", "c").mapInArrow(numbered, "word binary, c long, u long, h long, h2 int, _own long")
+    words = words.join(known, F.col("u") == F.col("_u"), "left").withColumn("_k", F.coalesce("_own", "_other"))
     words = settle(words.select("word", "c", "h", "h2", F.col("h2").bitwiseAND(F.lit(ENDINGS - 1)).alias("e"), F.col("_k").cast("int").alias("k")))
     discard(counted, other)
     # The class of an ending: that of most words seen once or twice with it; of endings not seen, the class of most such words.

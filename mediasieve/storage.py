@@ -43,8 +43,8 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Tables are packed tighter; shuffles go when the action that made them ends, not when the driver next collects garbage.
-_SPARING = {"spark.sql.parquet.compression.codec": "zstd", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Shuffles go when the action that made them ends, not when the driver next collects garbage.
+_SPARING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 @contextmanager

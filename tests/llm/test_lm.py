@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from mediasieve import storage
@@ -165,7 +166,7 @@ def test_what_is_used_up_leaves_the_disk(spark, tmp_path, monkeypatch):
     """Of the tables written only those that the result reads stay, it stays readable, and its joins share one exchange of the vocabulary; settings are as before."""
     texts = [*alternating(150), *chained(50), "", None, None]
     docs = spark.createDataFrame([(k % 190, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    names = ("spark.sql.parquet.compression.codec", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled",)
     before = [spark.conf.get(k, None) for k in names]
     monkeypatch.setattr(storage, "shared_dir", lambda spark: f"file://{tmp_path}/a b")
     monkeypatch.setattr(brown_lm, "WORDS", 8)
@@ -198,3 +199,12 @@ def test_counts_of_frequent_words_are_spread(spark, monkeypatch):
     for part, steps, c in zip(*[x.to_pylist() for x in brown_lm._dealt(keys, n, 4).columns], strict=True):
         got += zip((part * 4 + np.cumsum(np.frombuffer(steps, np.int32))).tolist(), np.frombuffer(c, np.int32).tolist(), strict=True)
     assert got == list(zip(keys.tolist(), n.tolist(), strict=True))
+
+
+def test_split_gives_the_tokens():
+    rng = random.Random(2)
+    texts = [None, b"", b" ", b"\xff\x00 A\x0bB\xc3\x84 ", *(bytes(rng.choices([*range(32), 32, 32, 65, 97, 0x85, 0xA0, 0xC3, 0xE2], k=40)) for _ in range(200))]
+    for some in (pa.array(texts, pa.binary()), pa.array(texts, pa.binary()).slice(1, 90), pa.array([], pa.binary())):
+        words, sizes = brown_lm._split(some)
+        want = [brown_lm.tokens(t)[:-1] for t in some.to_pylist()]
+        assert sizes.tolist() == [len(w) for w in want] and words.to_pylist() == [x for w in want for x in w]
