@@ -90,16 +90,15 @@ def signatures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return own.mapInArrow(run, "doc_id long, text_hash long, s long, n int, fp long, keys array<long>")
 
 
-def spelled(df: DataFrame, own: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(s, grams): the shingles of the sets in wanted (s), from the text of one document of each."""
-    first = own.join(wanted, "s").groupBy("s").agg(F.min(F.struct("doc_id", "text_hash")).alias("x")).select("x.doc_id", "x.text_hash")
+def spelled(df: DataFrame, first: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(s, grams): the shingles of the sets in wanted (s), from the text of one document of each, which first (s, doc_id, text_hash) names."""
 
     def run(batches):
         for b in batches:
             sets = [shingles(x.as_py()) for x in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([name_of(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["s", "grams"])
 
-    texts = with_keys(df, first, id_col, text_col).select(F.col(text_col).cast("binary").alias("data"))
+    texts = with_keys(df, first.join(wanted, "s"), id_col, text_col).select(F.col(text_col).cast("binary").alias("data"))
     return settle(texts.mapInArrow(run, "s long, grams array<long>").dropDuplicates(["s"]))
 
 
@@ -116,6 +115,7 @@ def links(df: DataFrame, own: DataFrame, id_col: str = "doc_id", text_col: str =
     """(node, root) of the sets of own, the signatures of df, that have near copies: root is the smallest set reachable. Texts without words have no bands."""
     once = own.where("keys is not null and n > 0").select("s", "n", "fp", "keys").dropDuplicates(["s"])
     at = once.select("s", "n", "fp", F.explode("keys").alias("key"))
+    first = settle(own.groupBy("s").agg(F.min(F.struct("doc_id", "text_hash")).alias("x")).select("s", "x.doc_id", "x.text_hash"))
     full = at.groupBy("key").agg(F.min("s").alias("_x"), F.max("s").alias("_y")).where("_x <> _y").select("key")
     at = settle(at.join(full, "key"))
     fits = F.least("n", "m") * ALIKE[1] >= F.greatest("n", "m") * ALIKE[0]
@@ -130,7 +130,7 @@ def links(df: DataFrame, own: DataFrame, id_col: str = "doc_id", text_col: str =
         return settle(live.join(mixed, "key"))
 
     def with_more(sets: DataFrame | None, named: DataFrame) -> DataFrame:
-        more = spelled(df, own, named if sets is None else named.join(sets, "s", "left_anti"), id_col, text_col)
+        more = spelled(df, first, named if sets is None else named.join(sets, "s", "left_anti"), id_col, text_col)
         return more if sets is None else sets.union(more)
 
     for k in range(STARS):
@@ -144,13 +144,13 @@ def links(df: DataFrame, own: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs = settle(pairs.join(tested, ["a", "b"], "left_anti"))
         sets = with_more(sets, pairs.select(F.col("a").alias("s")).union(pairs.select("b")).distinct())
         tested = settle(tested.union(_confirmed(pairs, sets)))
-        roots = settle(components(tested.where("same").select("a", "b")))
+        roots = components(tested.where("same").select("a", "b"))
     live = still_apart(roots)
     if live.isEmpty():
         return roots
     sets = with_more(sets, live.select("s").distinct())
     found = met_in_buckets(live, sets)
-    return settle(components(tested.where("same").select("a", "b").union(found)))
+    return components(tested.where("same").select("a", "b").union(found))
 
 
 def linked(labels: list[int], grams: list[np.ndarray]) -> list[tuple[int, int]]:

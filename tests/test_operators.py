@@ -201,6 +201,35 @@ def test_components(spark):
     assert {r["root"] for r in chain} == {0} and len(chain) == 61
 
 
+@pytest.mark.parametrize("few", [graph.FEW_LINKS, 99, 0])
+def test_components_in_one_task_or_in_rounds(spark, monkeypatch, few):
+    """Equal to a search from every node; few links cost the driver a handful of jobs, however many rounds they would take."""
+    monkeypatch.setattr(graph, "FEW_LINKS", few)
+    rng = random.Random(few)
+    edges = [(rng.randrange(-150, 150), rng.randrange(-150, 150)) for _ in range(120)] + [(1000 + i, 1001 + i) for i in range(100)] + [(2000, 2001 + i) for i in range(50)]
+    edges += [(None, 5), (7, None), (-(2**63), 2**63 - 1), *edges[:5]]
+    near = {}
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for start in sorted(near):
+        front = [start] * (start not in want)
+        while front:
+            x = front.pop()
+            if x not in want:
+                want[x] = start
+                front += near[x]
+    spark.sparkContext.setJobGroup(f"components {few}", "components")
+    got = graph.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components {few}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
+    assert jobs <= 10 or few < len(edges)
+    assert graph.components(spark.createDataFrame([(3, 3), (None, 1)], "a long, b long")).count() == 0
+
+
 def test_quota_and_split(spark):
     df = spark.range(100).selectExpr("id", "CASE WHEN id < 30 THEN 0 WHEN id < 50 THEN 1 ELSE 2 END AS p", "id % 2 AS y")
     got = quota.priority_quota(df, F.col("p"), 60, "id", sampled=2).collect()
